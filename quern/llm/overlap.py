@@ -49,9 +49,9 @@ def overlap_report(rows: DataFrame, threshold: float = THRESHOLD, width: int = W
     the same set of runs in training, those alike, and the share.  One training
     match of another id is enough, so no pairs are expanded."""
     members, links = overlap_join(rows, threshold, width)
-    side = [members.where(f"side = {s}").groupBy("class").agg(F.min("node").alias("least"), F.max("node").alias("most")) for s in (0,)][0]
+    side = members.where("side = 0").groupBy("class").agg(F.min("node").alias("least"), F.max("node").alias("most"))
     # A training class has an id other than y unless its only id is y.
-    strength = F.when(F.regexp_extract("a", "^[^:]*:[^:]*", 0) == F.regexp_extract("b", "^[^:]*:[^:]*", 0), 2).otherwise(1)
+    strength = F.when(F.substring_index("a", ":", 2) == F.substring_index("b", ":", 2), 2).otherwise(1)
     train = links.select("a", "b", strength.alias("strength")).join(side, F.col("a") == F.col("class")).drop("class")
     hits = members.where("side = 1").select(F.col("node").alias("id"), F.col("class").alias("b")).join(train, "b").where("least <> id or most <> id").groupBy("id").agg(F.max("strength").alias("strength"))
     known = rows.select("id", split_name(F.col("source_split")).alias("source_split"), F.coalesce(source_name(F.col("source_dataset")), F.lit("")).alias("source_dataset")).where("source_split in ('validation', 'test')").distinct()

@@ -1,7 +1,7 @@
 """Prefix-tree join of globally ordered sets.
 
-Sets are stored by rarest run first in a compressed trie, whose edges hold
-arrays of runs.  A probing set walks the trie once: what it shares with a path
+Sets, their runs in one order for all, are stored in a compressed trie, whose
+edges hold arrays of runs.  A probing set walks the trie once: what it shares with a path
 is counted for all sets below it together, and a subtree is left as soon as the
 runs still to come, in the probing set or in the longest set below, cannot
 reach the overlap the threshold asks for.
@@ -77,24 +77,23 @@ class Trie:
         return found
 
 
-def join_sets(rows: list[dict], threshold: float, two_sides: bool, across: tuple[int, int] | None) -> list[tuple[str, str, int]]:
-    """Linked pairs of ``rows`` (class, side, size, runs, counts, mine).  With
-    ``two_sides`` only pairs of different sides; with ``across`` only pairs
-    whose ``mine`` differ."""
-    rows = sorted(rows, key=lambda r: (r["size"], r["class"]))
+def join_sets(rows: list[dict], threshold: float, two_sides: bool, across: bool) -> list[tuple[str, str, int]]:
+    """Linked pairs of ``rows`` (class, side, runs, mine).  With ``two_sides``
+    only pairs of different sides; with ``across`` only pairs whose ``mine``
+    differ.  Runs held by more of the sets come first, so that sets share paths;
+    any order common to all gives the same pairs."""
+    rows = sorted(rows, key=lambda r: (len(r["runs"]), r["class"]))
     runs = [np.asarray(r["runs"], dtype=np.int64) for r in rows]
-    flat = np.concatenate(runs)
-    order = np.lexsort((flat, np.concatenate([np.asarray(r["counts"], dtype=np.int32) for r in rows])))
-    flat = flat[order]
-    known, first = np.unique(flat, return_index=True)
+    known, back, count = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
     rank = np.empty(len(known), dtype=np.int64)
-    rank[np.argsort(first, kind="stable")] = np.arange(len(known))
+    rank[np.argsort(-count, kind="stable")] = np.arange(len(known))
+    ranks = np.split(rank[back], np.cumsum([len(r) for r in runs])[:-1])
     # A set probes the tries it may match: of the other side, the other block, or all before it.
     tries: dict[tuple, Trie] = {}
     out = []
     holds, steps = np.zeros(len(known), dtype=bool), np.zeros(len(known) + 1, dtype=np.int64)
     for i, row in enumerate(rows):
-        mine = np.sort(rank[np.searchsorted(known, runs[i])])
+        mine = np.sort(ranks[i])
         label = (row["side"] if two_sides else 0, row["mine"] if across else 0)
         partners = [t for at, t in tries.items() if not (two_sides and at[0] == label[0]) and not (across and at[1] == label[1])]
         if partners:
@@ -102,10 +101,10 @@ def join_sets(rows: list[dict], threshold: float, two_sides: bool, across: tuple
             steps[:-1] = holds
             after = np.cumsum(steps[::-1])[::-1]
             for trie in partners:
-                for j, shared in trie.probe(holds, after, row["size"], threshold):
-                    if shared >= threshold * (row["size"] + rows[j]["size"] - shared) - 1e-9:
-                        a, b = (row, rows[j]) if (row["side"], row["class"]) < (rows[j]["side"], rows[j]["class"]) else (rows[j], row)
+                for j, shared in trie.probe(holds, after, len(mine), threshold):
+                    if shared >= threshold * (len(mine) + len(runs[j]) - shared) - 1e-9:
+                        a, b = sorted((row, rows[j]), key=lambda r: (r["side"], r["class"]))
                         out.append((a["class"], b["class"], shared))
             holds[mine] = False
-        tries.setdefault(label, Trie()).add(mine, row["size"], i)
+        tries.setdefault(label, Trie()).add(mine, len(mine), i)
     return out
