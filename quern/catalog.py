@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.operators import nested_queries
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return nested_queries.queries()
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return nested_queries.oracle_sql()
