@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import neardup, overlap
+from quern.llm import abuse, mixing, neardup, overlap, packing, pieces, splits
+from quern.llm.oracles import oracle_sql  # noqa: F401
 
 
 def _table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
@@ -14,6 +15,18 @@ def _table(spark: SparkSession, d: str, name: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.leaking_ids(_table(spark, d, "trajectories", "id", "task_group_key", "split"))
+
+
+def p1_splits(spark: SparkSession, d: str) -> DataFrame:
+    return splits.assign_splits(_table(spark, d, "trajectories", "id", "task_group_key", "split"), _table(spark, d, "split_targets"))
+
+
+def p1_report(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_report(_table(spark, d, "trajectories", "id", "task_group_key", "split"), _table(spark, d, "split_targets"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_pairs(_table(spark, d, "training_rows", "id", "source_split", "messages_json"))
 
@@ -30,9 +43,44 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.duplicate_groups(_table(spark, d, "trajectories", "id", "messages_json"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_report, p3_found, p3_groups)}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.oversized(_table(spark, d, "trajectories", "id", "messages_json", "message_loss_mask"))
+
+
+def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return pieces.cut_sessions(_table(spark, d, "trajectories", "id", "messages_json", "message_loss_mask"))
+
+
+def p6_placements(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, d, "documents", "doc_id", "text"))
+
+
+def p6_containers(spark: SparkSession, d: str) -> DataFrame:
+    return packing.containers(_table(spark, d, "documents", "doc_id", "text"))
 
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+def p6_report(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(_table(spark, d, "documents", "doc_id", "text"))
+
+
+def p7_drawn(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.drawn_documents(_table(spark, d, "documents", "doc_id", "source", "text"), _table(spark, d, "mix_targets"))
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.share_report(_table(spark, d, "documents", "doc_id", "source", "text"), _table(spark, d, "mix_targets"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.abusive_documents(_table(spark, d, "documents", "doc_id", "text"), _table(spark, d, "review_labels"))
+
+
+def p8_report(spark: SparkSession, d: str) -> DataFrame:
+    return abuse.rate_report(_table(spark, d, "documents", "doc_id", "source", "text"), _table(spark, d, "review_labels"))
+
+
+_QUERIES = (p1_found, p1_splits, p1_report, p2_found, p2_report, p3_found, p3_groups, p5_found, p5_pieces, p6_placements, p6_containers, p6_report, p7_drawn, p7_report, p8_found, p8_report)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in _QUERIES}
