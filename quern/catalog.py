@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.operators import nested_queries
+from quern.operators import nested_queries, session_queries
+
+_MODULES = (session_queries, nested_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return nested_queries.queries()
+    return {name: f for m in _MODULES for name, f in m.queries().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return nested_queries.oracle_sql()
+    return {name: sql for m in _MODULES for name, sql in m.oracle_sql().items()}
