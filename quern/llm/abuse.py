@@ -26,7 +26,7 @@ from quern.llm.gru import Network, Scorer, fit, words
 
 LABELS = ("ok", "abusive", "hateful", "sexual")
 #: Bound of the training sample for each label, and score from which a document counts as a case.
-MAX_LABELLED, CASE = 2000, 0.5
+MAX_LABELLED, CASE = 4000, 0.5
 
 
 def labelled_sample(documents: DataFrame, reviews: DataFrame, max_labelled: int = MAX_LABELLED) -> list[tuple[str, int]]:

@@ -229,90 +229,125 @@ def _adam(p: dict, g: dict, m: dict, v: dict, t: int, rate: float) -> None:
         p[k] -= (rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-7)).astype(np.float32)
 
 
-def fit(texts: list[list[str]], labels: list[int], classes: int, rounds: tuple[int, ...] = (250, 250, 300), batch: int = 64, seed: int = 5) -> Network:
+class _Sample:
+    """Labelled texts as rows of a local word list."""
+
+    def __init__(self, texts: list[list[str]], labels: list[int], classes: int):
+        self.texts, self.labels, self.classes = texts, labels, classes
+        plained = [[plain(w) for w in t] for t in texts]
+        self.counts = Counter(w for t in plained for w in set(t))
+        self.vocabulary = {w: k + 1 for k, w in enumerate(sorted(w for w, n in self.counts.items() if n >= 3))}
+        local: dict[str, int] = {}
+        for t in plained:
+            for w in t:
+                local.setdefault(w, len(local))
+        self.plained = plained
+        self.coded = [np.array([local[w] for w in t]) for t in plained]
+        self.rows = np.array([self.vocabulary.get(w, 0) for w in local])
+        self.gram = np.full((len(local), GRAMS), -1)
+        for k, w in enumerate(local):
+            x = grams(w)
+            self.gram[k, : len(x)] = x
+
+    def telling(self, positive: list[int], negative: list[int]) -> dict[int, int]:
+        """The window of each positive text with the most telling words, by the
+        log odds of a positive or a negative text to hold them."""
+        held = Counter(w for k in positive for w in set(self.plained[k]))
+        other = Counter(w for k in negative for w in set(self.plained[k]))
+        odds = {w: max(0.0, np.log((n + 0.1) / (len(positive) + 1)) - np.log((other[w] + 0.5) / (len(negative) + 1))) for w, n in held.items() if n >= 2}
+        out = {}
+        for k in positive:
+            total = np.r_[0.0, np.cumsum([odds.get(w, 0.0) for w in self.plained[k]])]
+            n = len(total) - 1
+            out[k] = max(window_starts(n), key=lambda s: total[min(n, s + WINDOW)] - total[s])
+        return out
+
+    def batch(self, picks: list[tuple[int, int, int]], rng: np.random.Generator) -> tuple:
+        ids = np.zeros((WINDOW, len(picks)), dtype=np.int64)
+        mask = np.zeros((WINDOW, len(picks)), dtype=np.float32)
+        for c, (k, s, _) in enumerate(picks):
+            part = self.coded[k][s : s + WINDOW]
+            ids[: len(part), c] = part
+            mask[: len(part), c] = 1.0
+        used, back = np.unique(ids, return_inverse=True)
+        own = self.rows[used].copy()
+        own[rng.random(len(own)) < 0.2] = 0  # words unknown to the vocabulary occur, too
+        return own, self.gram[used], back.reshape(ids.shape), mask, np.array([c for _, _, c in picks])
+
+    def top_windows(self, net: Network, of_texts: list[int]) -> tuple[dict[int, tuple[float, int]], list[tuple[float, int, int]]]:
+        """(score and start of each text's highest window, all windows scored
+        0.02 or more) by the network."""
+        prob, of, at = Scorer(net).windows([self.texts[k] for k in of_texts])
+        score = 1.0 - prob[:, 0]
+        top: dict[int, tuple[float, int]] = {}
+        for w in range(len(of)):
+            k = of_texts[of[w]]
+            if k not in top or score[w] > top[k][0]:
+                top[k] = (float(score[w]), int(at[w]))
+        return top, [(float(score[w]), of_texts[of[w]], int(at[w])) for w in np.flatnonzero(score >= 0.02)]
+
+
+def _train(net: Network, sample: _Sample, steps: int, chosen: dict[int, int], negative: list[int], hard: list[tuple[int, int]], rng: np.random.Generator, rate: float, batch: int = 64) -> None:
+    """Steps on half chosen windows of positive texts, half windows of negative
+    ones, of these half from ``hard``; the rate falls to nothing at the end."""
+    by_class = [x for c in range(1, sample.classes) if (x := [k for k in chosen if sample.labels[k] == c])]
+    every = [*chosen]
+    m, v = ({k: np.zeros_like(x) for k, x in net.p.items()} for _ in range(2))
+    for step in range(1, steps + 1):
+        picks = []
+        for n in range(batch // 2):
+            pool = by_class[n % len(by_class)] if n % 2 else every
+            k = pool[rng.integers(len(pool))]
+            picks.append((k, int(np.clip(chosen[k] + rng.integers(-6, 7), 0, max(0, len(sample.coded[k]) - WINDOW))), sample.labels[k]))
+        for n in range(batch - batch // 2):
+            if hard and n % 2:
+                k, s = hard[rng.integers(len(hard))]
+            else:
+                k = negative[rng.integers(len(negative))]
+                s = int(rng.integers(max(1, len(sample.coded[k]) - WINDOW + 1)))
+            picks.append((k, s, 0))
+        _, g = net.gradients(*sample.batch(picks, rng))
+        _adam(net.p, g, m, v, step, rate * (1.05 - step / steps))
+
+
+def fit(texts: list[list[str]], labels: list[int], classes: int, steps: tuple[int, int, int] = (200, 250, 350), seed: int = 5) -> Network:
     """A network for texts (raw words) with a label each (0: none).
 
-    A text's label holds for some window of it, and labels may be wrong: the
-    window of a labelled text is first the one with the most telling words and
-    later the one the network scores highest; texts the network firmly
-    contradicts are left out of the next round; other windows of label 0 are
-    drawn at random and, half of them, from those scored worst.  The number of
+    A text's label holds for some window of it, and labels may be wrong.  So
+    two networks are trained first, each on one half, with the windows of most
+    telling words; each then chooses the windows of the other half and leaves
+    out the texts whose label it firmly contradicts.  The network itself is
+    trained on what is left, in two rounds; before the second it chooses the
+    windows again, and the negative windows scored highest.  The number of
     steps is fixed, whatever the number of texts."""
     rng = np.random.default_rng(seed)
-    plained = [[plain(w) for w in t] for t in texts]
-    counts = Counter(w for t in plained for w in set(t))
-    vocabulary = {w: k + 1 for k, w in enumerate(sorted(w for w, n in counts.items() if n >= 3))}
-    net = Network(vocabulary, classes, seed)
+    sample = _Sample(texts, labels, classes)
+    net = Network(sample.vocabulary, classes, seed)
     usable = [k for k, t in enumerate(texts) if t]
-    positive = [k for k in usable if labels[k]]
-    negative = [k for k in usable if not labels[k]]
+    positive, negative = [k for k in usable if labels[k]], [k for k in usable if not labels[k]]
     if not positive or not negative:
-        net.p["outb"][0] = 20.0  # nothing to learn from: no text is scored as abusive
+        net.p["outb"][0] = 20.0  # nothing to learn from: no text is scored as a case
         return net
-    # Telling words: log odds of a text of label 0 or not to hold the word.
-    held = Counter(w for k in positive for w in set(plained[k]))
-    odds = {w: np.log((n + 0.1) / (len(positive) + 1)) - np.log((counts[w] - n + 0.5) / (len(negative) + 1)) for w, n in held.items() if n >= 2}
-    local: dict[str, int] = {}
-    for t in plained:
-        for w in t:
-            local.setdefault(w, len(local))
-    rows = np.array([vocabulary.get(w, 0) for w in local])
-    gram = np.full((len(local), GRAMS), -1)
-    for k, w in enumerate(local):
-        x = grams(w)
-        gram[k, : len(x)] = x
-    coded = [np.array([local[w] for w in t]) for t in plained]
-
-    def best_start(k: int) -> int:
-        worth = np.array([max(0.0, odds.get(w, 0.0)) for w in plained[k]])
-        total = np.r_[0.0, np.cumsum(worth)]
-        return max(window_starts(len(worth)), key=lambda s: total[min(len(worth), s + WINDOW)] - total[s])
-
-    chosen = {k: best_start(k) for k in positive}
-    hard: list[tuple[int, int]] = []
-    m, v = ({k: np.zeros_like(x) for k, x in net.p.items()} for _ in range(2))
-    step = 0
-    for turn, steps in enumerate(rounds):
-        by_class = [[k for k in chosen if labels[k] == c] for c in range(1, classes)]
-        by_class = [x for x in by_class if x]
-        for i in range(steps):
-            step += 1
-            picks = []
-            for n in range(batch // 2):
-                pool = by_class[n % len(by_class)] if n % 2 else [*chosen]
-                k = pool[rng.integers(len(pool))]
-                spare = max(0, len(coded[k]) - WINDOW)
-                picks.append((k, int(np.clip(chosen[k] + rng.integers(-6, 7), 0, spare)), labels[k]))
-            for n in range(batch - len(picks)):
-                if hard and n % 2:
-                    k, s = hard[rng.integers(len(hard))]
-                else:
-                    k = negative[rng.integers(len(negative))]
-                    s = int(rng.integers(max(1, len(coded[k]) - WINDOW + 1)))
-                picks.append((k, s, 0))
-            ids = np.zeros((WINDOW, batch), dtype=np.int64)
-            mask = np.zeros((WINDOW, batch), dtype=np.float32)
-            for c, (k, s, _) in enumerate(picks):
-                part = coded[k][s : s + WINDOW]
-                ids[: len(part), c] = part
-                mask[: len(part), c] = 1.0
-            used, back = np.unique(ids, return_inverse=True)
-            own = rows[used].copy()
-            own[rng.random(len(own)) < 0.15] = 0  # words unknown to the vocabulary occur, too
-            _, g = net.gradients(own, gram[used], back.reshape(ids.shape), mask, np.array([c for _, _, c in picks]))
-            _adam(net.p, g, m, v, step, 4e-3 if turn < len(rounds) - 1 else 2e-3 * (1 - i / steps) + 1e-4)
-        if turn < len(rounds) - 1:
-            scorer = Scorer(net)
-            prob, of, at = scorer.windows([texts[k] for k in usable])
-            score = 1.0 - prob[:, 0]
-            top: dict[int, tuple[float, int]] = {}
-            for w in range(len(of)):
-                k = usable[of[w]]
-                if k not in top or score[w] > top[k][0]:
-                    top[k] = (float(score[w]), int(at[w]))
-            chosen = {k: top[k][1] for k in positive if top[k][0] > (0.3 if turn else 0.1)} or chosen
-            wrong = {k for k in negative if top[k][0] > 0.97} if len(chosen) > 40 else set()
-            negative = [k for k in negative if k not in wrong] or negative
-            worst = sorted(((score[w], usable[of[w]], int(at[w])) for w in np.flatnonzero(score > 0.02) if not labels[usable[of[w]]] and usable[of[w]] not in wrong), reverse=True)
-            hard = [(k, s) for _, k, s in worst[:2000]]
+    chosen, hard = sample.telling(positive, negative), []
+    if len(positive) >= 40 and len(negative) >= 40:
+        # With few texts a rare expression may stand once, unknown to the other half.
+        doubt = 0.5 if len(positive) >= 300 else 0.03
+        kept, clean = {}, []
+        for half in (0, 1):
+            own_p, own_n = positive[half::2], negative[half::2]
+            judge = Network(sample.vocabulary, classes, seed + 1 + half)
+            _train(judge, sample, steps[0], sample.telling(own_p, own_n), own_n, [], rng, 5e-3)
+            top, windows = sample.top_windows(judge, positive[1 - half :: 2] + negative[1 - half :: 2])
+            kept |= {k: top[k][1] for k in positive[1 - half :: 2] if top[k][0] >= doubt}
+            clean += [k for k in negative[1 - half :: 2] if top[k][0] < 0.95]
+            hard += [(k, s) for x, k, s in windows if not labels[k] and x < 0.95]
+        if len(kept) >= len(positive) // 3:
+            chosen, negative = kept, clean
+            positive = [*kept]
+    _train(net, sample, steps[1], chosen, negative, hard, rng, 5e-3)
+    top, windows = sample.top_windows(net, positive + negative)
+    chosen = {k: top[k][1] for k in positive}
+    known = set(negative)
+    hard = [(k, s) for _, k, s in sorted((w for w in windows if w[1] in known), reverse=True)[:3000]]
+    _train(net, sample, steps[2], chosen, negative, hard, rng, 3e-3)
     return net
