@@ -97,7 +97,7 @@ def message_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 _ROOTS = """, u AS (SELECT k, replace(string_agg(text, chr(10) ORDER BY message_index), '\\n', chr(10)) AS t FROM m WHERE role IN ('user', 'system') GROUP BY k),
-r AS (SELECT k, CASE WHEN t IS NOT NULL THEN regexp_replace(coalesce(nullif(regexp_extract(t, '<uploaded_files>\\s*(/[^\\n<]+)', 1), ''), nullif(regexp_extract(t, 'Cloned path:\\s*(/[^\\n]+)', 1), ''), CASE WHEN contains(t, '- MODIFY: Regular source code files in /testbed') THEN '/testbed' END), '^\s+|\s+$', '', 'g') END AS root FROM u)"""
+r AS (SELECT k, CASE WHEN t IS NOT NULL THEN regexp_replace(coalesce(nullif(regexp_extract(t, '<uploaded_files>\\s*(/[^\\n<]+)', 1), ''), nullif(regexp_extract(t, 'Cloned path:\\s*(/[^\\n]+)', 1), ''), CASE WHEN contains(t, '- MODIFY: Regular source code files in /testbed') THEN '/testbed' END), '^\\s+|\\s+$', '', 'g') END AS root FROM u)"""
 
 
 def session_roots(messages: DataFrame) -> DataFrame:

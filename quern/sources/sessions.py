@@ -34,6 +34,14 @@ def dense_row_index(rows: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(before), "file_path").withColumn("source_row_index", F.col("before") + F.col("file_row_index")).drop("before")
 
 
+def first_of_each_id(rows: DataFrame, index: str = "file_row_index") -> DataFrame:
+    """The first delivered row of each id.  Only keys are grouped; the rows of
+    ids that occur once pass by."""
+    order = F.struct("file_path", index)
+    repeated = rows.groupBy("id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return rows.join(repeated, "id", "left").where(F.col("first").isNull() | (order == F.col("first"))).drop("first")
+
+
 def messages(rows: DataFrame) -> DataFrame:
     """A row for each message object: row_key, id, source_scaffold,
     message_index, role, message (variant), mask value and the session's length."""
