@@ -50,7 +50,7 @@ class Arguments:
         return self.values[name]
 
 
-def _operation(kind: str, parameters: dict, **contracts: Any) -> dict:
+def _operation(kind: str, parameters: dict, /, **contracts: Any) -> dict:
     return {"kind": kind, "parameters": parameters, "contracts": contracts}
 
 

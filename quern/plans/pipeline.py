@@ -31,7 +31,7 @@ from quern.sources.sessions import dense_row_index, first_of_each_id, read_sessi
 
 def fingerprint(spark: SparkSession, path: str) -> str:
     """One hash over the data files of a table, whatever their order."""
-    hashes = content_hashes(spark, path).where("name not like '_%' and name not like '.%'").select("sha256")
+    hashes = content_hashes(spark, path).where(F.col("name").rlike("^[^_.]")).select("sha256")
     return hashes.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ","), 256)).first()[0]
 
 
