@@ -11,6 +11,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 
@@ -67,10 +68,6 @@ def window_starts(n: int) -> list[int]:
     return [*range(0, n - WINDOW, STRIDE), n - WINDOW]
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1.0)
-
-
 class Network:
     """Parameters by name, and the vocabulary (word -> row; row 0: unknown)."""
 
@@ -90,17 +87,26 @@ class Network:
         """(logits, states, attention, tanh) of projected inputs by way, (steps,
         windows, 3h), and mask (steps, windows)."""
         steps, n = mask.shape
-        h = HIDDEN
+        h, full = HIDDEN, mask.all(axis=1)
         states = np.empty((steps, n, 2 * h), dtype=np.float32)
         for way in "fb":
             u, at = self.p[f"u{way}"], np.zeros((n, h), dtype=np.float32)
             for t in range(steps) if way == "f" else range(steps - 1, -1, -1):
                 g, x = at @ u, gx[way][t]
-                rz = _sigmoid(x[:, : 2 * h] + g[:, : 2 * h])
+                rz = x[:, : 2 * h] + g[:, : 2 * h]
+                rz *= 0.5
+                np.tanh(rz, out=rz)
+                rz += 1.0
+                rz *= 0.5
                 r, z = rz[:, :h], rz[:, h:]
-                new = np.tanh(x[:, 2 * h :] + r * g[:, 2 * h :])
-                m = mask[t][:, None]
-                after = at + m * (1.0 - z) * (new - at)
+                new = r * g[:, 2 * h :]
+                new += x[:, 2 * h :]
+                np.tanh(new, out=new)
+                after = new - at
+                after *= 1.0 - z
+                if not full[t]:
+                    after *= mask[t][:, None]
+                after += at
                 if keep is not None:
                     keep.append((way, t, at, r, z, new, g[:, 2 * h :]))
                 at = after
@@ -200,26 +206,26 @@ class Scorer:
         fresh = sorted({w for t in texts for w in t if w not in self.row})
         for k in range(0, len(fresh), 20_000):
             self._learn(fresh[k : k + 20_000])
-        of, at, ids = [], [], []
-        for k, t in enumerate(texts):
-            rows = np.array([self.row[w] for w in t], dtype=np.int64)
-            for s in window_starts(len(t)):
-                of.append(k)
-                at.append(s)
-                part = rows[s : s + WINDOW]
-                ids.append(part if len(part) == WINDOW else np.r_[part, np.full(WINDOW - len(part), -1)])
         classes = self.network.p["out"].shape[1]
-        if not ids:
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        starts = [window_starts(n) for n in sizes.tolist()]
+        of = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
+        if not len(of):
             return np.zeros((0, classes), np.float32), np.array([], int), np.array([], int)
-        block = np.array(ids).T
+        at = np.fromiter(chain.from_iterable(starts), dtype=np.int64, count=len(of))
+        flat = np.fromiter(map(self.row.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=int(sizes.sum()))
+        before = np.cumsum(sizes) - sizes
+        place = (before[of] + at) + np.arange(WINDOW)[:, None]
+        inside = place < (before + sizes)[of]
+        block = np.where(inside, flat[np.minimum(place, len(flat) - 1)], -1)
         out = []
-        for k in range(0, block.shape[1], 2048):
-            part = np.ascontiguousarray(block[:, k : k + 2048])
+        for k in range(0, block.shape[1], 512):
+            part = np.ascontiguousarray(block[:, k : k + 512])
             mask = (part >= 0).astype(np.float32)
             logits = self.network.pooled({way: self.table[way][np.maximum(part, 0)] for way in "fb"}, mask)[0]
             e = np.exp(logits - logits.max(axis=1, keepdims=True))
             out.append(e / e.sum(axis=1, keepdims=True))
-        return np.concatenate(out), np.array(of), np.array(at)
+        return np.concatenate(out), of, at
 
 
 def _adam(p: dict, g: dict, m: dict, v: dict, t: int, rate: float) -> None:
