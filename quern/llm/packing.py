@@ -92,6 +92,7 @@ def containers(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str =
 
 
 def fill_report(documents: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULARY) -> DataFrame:
-    """One row: containers, least possible containers, tokens, share of room used."""
+    """One row: containers, least possible containers, tokens, share of room used
+    (null without containers)."""
     total = containers(documents, capacity, vocabulary).agg(F.count(F.lit(1)).alias("containers"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
-    return total.select("containers", F.ceil(F.col("tokens") / capacity).alias("least_containers"), "tokens", F.round(F.col("tokens") / (F.col("containers") * capacity), 6).alias("fill"))
+    return total.select("containers", F.ceil(F.col("tokens") / capacity).alias("least_containers"), "tokens", F.round(F.try_divide("tokens", F.col("containers") * capacity), 6).alias("fill"))

@@ -109,7 +109,7 @@ def cut_texts(texts: list[str], limit: int = LIMIT, overlap: int = OVERLAP) -> l
         first = max(0, int(np.searchsorted(starts, low, side="right")) - 1)
         for k in range(first, len(texts)):
             a, b = max(low, int(starts[k])), min(end, int(starts[k + 1]))
-            if starts[k] > end or (starts[k] == end and (lengths[k] or piece < len(cuts) - 1)):
+            if starts[k] > end or (starts[k] == end and lengths[k]):
                 break
             if a < b or (not lengths[k] and (begin < starts[k] <= end or (piece == 0 and starts[k] == 0))):
                 out.append((piece, k, a - int(starts[k]), max(a, b) - int(starts[k]), max(0, min(begin, b) - a)))
