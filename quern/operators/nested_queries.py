@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quern.operators import variants
+from quern.operators.session_sql import BASE
 
 
 def _sessions(spark: SparkSession, d: str) -> DataFrame:
@@ -37,5 +38,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"p4_found": p4_found, "p4_variants": p4_variants} | {f"p4_{kind}s": _table(kind) for kind in variants.COLUMNS}
 
 
+_LINKS = (
+    BASE.replace("WITH s0 AS", "WITH RECURSIVE s0 AS")
+    + """, called AS (SELECT k, id, message_index, call_index, CASE WHEN ctype = 'VARCHAR' THEN call_id END AS call_id FROM (SELECT c0.k, c0.id, message_index, CAST(e.key AS INT) AS call_index, e.value->>'$.id' AS call_id, json_type(e.value->'$.id') AS ctype, json_type(e.value) AS kind FROM c0, json_each(c0.tc) e) WHERE kind = 'OBJECT'),
+answers AS (SELECT k, message_index, CASE WHEN json_type(message->'$.tool_call_id') = 'VARCHAR' THEN message->>'$.tool_call_id' END AS call_id, max(CASE WHEN role IS DISTINCT FROM 'tool' THEN message_index END) OVER (PARTITION BY k ORDER BY message_index) AS opener, role FROM m),
+params AS (
+  SELECT k, id, position, '' AS prefix, NULL::VARCHAR AS path, CASE WHEN json_type(own->'$.parameters') = 'VARCHAR' THEN CASE WHEN json_valid(own->>'$.parameters') THEN CAST(own->>'$.parameters' AS JSON) ELSE 'null'::JSON END ELSE own->'$.parameters' END AS schema FROM d0
+  UNION ALL
+  SELECT k, id, position, CASE WHEN n IS NULL THEN prefix ELSE prefix || n || '.' END, CASE WHEN n IS NULL THEN NULL ELSE prefix || n END, v FROM (
+    SELECT k, id, position, prefix, unnest(list_concat(
+      CASE WHEN json_type(schema->'$.properties') = 'OBJECT' THEN list_transform(json_keys(schema->'$.properties'), lambda x: {'n': x, 'v': json_extract(schema->'$.properties', '$."' || x || '"')}) ELSE [] END,
+      CASE WHEN json_type(schema->'$.items') = 'OBJECT' THEN [{'n': NULL::VARCHAR, 'v': schema->'$.items'}] ELSE [] END), recursive := true) FROM params WHERE json_type(schema) = 'OBJECT')
+),
+p0 AS (SELECT id, target_harness, CASE WHEN json_valid(bridge_provenance_json) THEN bridge_provenance_json ELSE 'null' END AS a FROM training_rows), p1 AS (SELECT id, target_harness, CASE WHEN json_type(a) = 'VARCHAR' THEN a->>'$' ELSE a END AS b FROM p0),
+p2 AS (SELECT id, target_harness, CASE WHEN json_valid(b) THEN b ELSE 'null' END AS j FROM p1), regions AS (SELECT p2.id, target_harness, CAST(e.key AS BIGINT) AS pos, e.value AS region FROM p2, json_each(CASE WHEN json_type(j) = 'ARRAY' THEN j ELSE '[]' END) e)
+SELECT DISTINCT * FROM (
+  SELECT id, '' AS target_harness, 'call' AS kind, CAST(message_index AS BIGINT) AS parent_pos, CAST(call_index AS VARCHAR) AS child FROM called
+  UNION ALL SELECT c.id, '', 'answer', CAST(c.message_index AS BIGINT), c.call_index || ':' || a.message_index FROM called c JOIN answers a ON a.k = c.k AND a.opener = c.message_index AND a.role = 'tool' AND a.call_id = c.call_id AND c.call_id <> ''
+  UNION ALL SELECT id, '', 'param', CAST(position AS BIGINT), path FROM params WHERE path IS NOT NULL
+  UNION ALL SELECT r.id, target_harness, 'span', pos, CAST(e.value AS VARCHAR) FROM regions r, json_each(coalesce(region->'$.source_indices', '[]'::JSON)) e
+  UNION ALL SELECT r.id, target_harness, 'reason', pos, e.value->>'$' FROM regions r, json_each(coalesce(region->'$.review_decision.rejection_reasons', '[]'::JSON)) e
+)"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p4_found": _LINKS}
