@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from quern.core.labels import NO_KEY, SPELLINGS
+from quern.llm.pieces import LIMIT
+from quern.operators.session_sql import BASE
 
 _QUOTED = {s: ", ".join(f"'{x}'" for x in names) for s, names in SPELLINGS.items()}
 _NO_KEY = ", ".join(f"'{x}'" for x in NO_KEY)
@@ -30,4 +32,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": f"""{LABELLED}
 SELECT DISTINCT id FROM l WHERE task IN (SELECT task FROM l WHERE task IS NOT NULL GROUP BY task HAVING count(DISTINCT split) > 1)""",
+        "p5_found": f"""{BASE}
+SELECT DISTINCT id, CAST(-1 AS BIGINT) AS message_index FROM (SELECT k, id, sum(length(text)) AS n FROM m GROUP BY 1, 2) WHERE n > {LIMIT}
+UNION SELECT DISTINCT id, CAST(message_index AS BIGINT) FROM m WHERE length(text) > {LIMIT}""",
     }
