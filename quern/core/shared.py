@@ -28,3 +28,13 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{shared_folder(spark)}/quern-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where it has fewer partitions than there are, as a
+    table of a single small file; a table of more is left as it lies.  Only for
+    passes whose rows don't depend on each other."""
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

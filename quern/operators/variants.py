@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.core.jsonio import canonical, content_text, load_list, loads
+from quern.core.shared import spread
 
 _NODE = "kind string, id string, target_harness string, parent_pos bigint, pos bigint, child string, variant string, data string"
 _NAMES = ["kind", "id", "target_harness", "parent_pos", "pos", "child", "variant", "data"]
@@ -197,7 +198,7 @@ def nodes(rows: DataFrame, kinds: tuple[str, ...] | None = None, lean: bool = Fa
     readers = [c for c in _READERS if c in rows.columns]
     harness = F.col("target_harness") if "target_harness" in rows.columns else F.lit("")
     wanted = frozenset(kinds) if kinds else None
-    return rows.select(F.col("id").cast("string"), harness.cast("string").alias("target_harness"), *readers).mapInArrow(_flattener(readers, wanted, lean), _NODE)
+    return spread(rows.select(F.col("id").cast("string"), harness.cast("string").alias("target_harness"), *readers)).mapInArrow(_flattener(readers, wanted, lean), _NODE)
 
 
 def table(rows: DataFrame, kind: str) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.core.jsonio import canonical, digest
+from quern.core.shared import spread
 from quern.plans.codes import TARGETS, Refusal
 from quern.plans.lowering import definitions
 from quern.plans.review import evaluate, mechanical_result
@@ -91,7 +92,7 @@ def _plan_rows(targets: tuple[str, ...]):
 def compile_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS)) -> DataFrame:
     """A row for each call and target; sessions that can't be read, one row of
     kind and status ``refused``."""
-    return records(rows).mapInArrow(_pass(PLAN_FIELDS, _plan_rows(targets)), PLAN_FIELDS)
+    return spread(records(rows)).mapInArrow(_pass(PLAN_FIELDS, _plan_rows(targets)), PLAN_FIELDS)
 
 
 def _stage_rows(targets: tuple[str, ...]):
@@ -124,7 +125,7 @@ def _stage_rows(targets: tuple[str, ...]):
 
 def stage_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS)) -> DataFrame:
     """Rows of kinds staged, request, segment, ready and refused."""
-    return records(rows).mapInArrow(_pass(STAGE_FIELDS, _stage_rows(targets)), STAGE_FIELDS)
+    return spread(records(rows)).mapInArrow(_pass(STAGE_FIELDS, _stage_rows(targets)), STAGE_FIELDS)
 
 
 def ready_rows(stages: DataFrame) -> DataFrame:

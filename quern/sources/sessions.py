@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.core.shared import spread
 from quern.functions import text as X
 from quern.plans.codes import SOURCE_TOOLS, TARGETS
 
@@ -45,7 +46,7 @@ def first_of_each_id(rows: DataFrame, index: str = "file_row_index") -> DataFram
 def messages(rows: DataFrame) -> DataFrame:
     """A row for each message object: row_key, id, source_scaffold,
     message_index, role, message (variant), mask value and the session's length."""
-    parsed = rows.select("row_key", "id", "source_scaffold", "message_loss_mask", X.items(X.json_value(F.col("messages_json"))).alias("all"))
+    parsed = spread(rows.select("row_key", "id", "source_scaffold", "message_loss_mask", "messages_json")).select("row_key", "id", "source_scaffold", "message_loss_mask", X.items(X.json_value(F.col("messages_json"))).alias("all"))
     out = parsed.select("row_key", "id", "source_scaffold", "message_loss_mask", F.size("all").alias("n_messages"), F.posexplode("all").alias("message_index", "message"))
     out = out.where(X.kind_of(F.col("message")) == "object")
     return out.select("row_key", "id", "source_scaffold", "n_messages", "message_index", X.text_field(F.col("message"), "role").alias("role"), F.try_element_at("message_loss_mask", F.col("message_index") + 1).alias("mask"), "message")
