@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.core.labels import source_name
-from quern.core.shared import materialize
+from quern.core.shared import materialize, spread
 from quern.llm.gru import Network, Scorer, fit, words
 
 LABELS = ("ok", "abusive", "hateful", "sexual")
@@ -67,7 +67,8 @@ def _scorer(shared):
 def score_documents(documents: DataFrame, network: Network) -> DataFrame:
     """doc_id, score, kind of every document (doc_id, text)."""
     shared = documents.sparkSession.sparkContext.broadcast(network)  # bounded by the sample
-    scored = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_scorer(shared), "doc_id bigint, score double, kind string")
+    rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = spread(rows).mapInArrow(_scorer(shared), "doc_id bigint, score double, kind string")
     return scored.groupBy("doc_id").agg(F.max("score").alias("score"), F.max_by("kind", "score").alias("kind"))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.core.jsonio import content_text, load_list
+from quern.core.shared import spread
 
 LIMIT, OVERLAP = 8000, 400
 #: Penalty of a cut after each kind of boundary; a piece twice or zero times the
@@ -158,7 +159,7 @@ def cut_sessions(rows: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, wi
     messages_json, message_loss_mask.  start, end: the range in the message;
     repeated: how many of its characters the piece before has too."""
     mask = F.col("message_loss_mask").cast("array<bigint>")
-    out = rows.select(F.col("id").cast("string"), "messages_json", mask.alias("message_loss_mask")).mapInArrow(_cutter(limit, overlap, with_text), _PIECES)
+    out = spread(rows.select(F.col("id").cast("string"), "messages_json", mask.alias("message_loss_mask"))).mapInArrow(_cutter(limit, overlap, with_text), _PIECES)
     return out.dropDuplicates(["id", "variant", "piece", "part"])
 
 

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quern.core.shared import spread
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The vocabulary's published splitting pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -47,4 +49,4 @@ def with_tokens(rows: DataFrame, path: str = VOCABULARY, text: str = "text") ->
     texts have none."""
     others = [c for c in rows.columns if c != text]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*others).schema) + ", tokens bigint"
-    return rows.select(*others, F.col(text).cast("string")).mapInArrow(_sizer(path), schema)
+    return spread(rows.select(*others, F.col(text).cast("string"))).mapInArrow(_sizer(path), schema)
