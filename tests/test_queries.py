@@ -12,9 +12,9 @@ def _normal(rows):
     def one(v):
         import pandas as pd
 
-        if isinstance(v, float) and v == int(v):
-            v = int(v)
-        return "None" if pd.isna(v) else str(v)
+        if pd.isna(v):
+            return "None"
+        return str(int(v)) if isinstance(v, float) and v == int(v) else str(v)
 
     return sorted(tuple(one(v) for v in r) for r in rows)
 
