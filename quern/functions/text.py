@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.plans.codes import TESTBED_MARK
+from quern.plans.codes import CONTENT_MARK, CONTENT_MARK_MORE, COPY_NAME, SCRIPT_MARK, SCRIPT_MARK_MORE, SCRIPT_NAME, TESTBED_MARK
 
 NUL = "\x00"
 
@@ -108,7 +108,7 @@ def free_mark(mark: Column, suffix: str, text: Column, tries: int = 4) -> Column
 
 def write_command(path: Column, content: Column) -> Column:
     """Shell text that writes exactly ``content``."""
-    mark = free_mark(F.concat(F.lit("TB_CONTENT_"), F.substring(F.sha2(content.cast("binary"), 256), 1, 16)), "_X", content)
+    mark = free_mark(F.concat(F.lit(CONTENT_MARK), F.substring(F.sha2(content.cast("binary"), 256), 1, 16)), CONTENT_MARK_MORE, content)
     document = F.concat(F.lit("cat > "), shell_word(path), F.lit(" <<'"), mark, F.lit("'\n"), content, mark)
     printed = F.concat(F.lit("printf '%s' "), shell_word(content), F.lit(" > "), shell_word(path))
     return F.when(content.endswith("\n") & ~F.contains(content, F.lit(NUL)), document).otherwise(printed)
@@ -121,8 +121,8 @@ def subshell(body: Column) -> Column:
 
 
 def login_shell(body: Column) -> Column:
-    mark = free_mark(F.lit("TB_SCRIPT"), "_END", body)
-    return F.when(~F.contains(body, F.lit(NUL)), F.concat(F.lit("(\nIFS= read -r -d '' tb_source_script <<'"), mark, F.lit("' || :\n"), body, F.lit("\n"), mark, F.lit('\nbash -lc "${tb_source_script%?}"\n)')))
+    mark = free_mark(F.lit(SCRIPT_MARK), SCRIPT_MARK_MORE, body)
+    return F.when(~F.contains(body, F.lit(NUL)), F.concat(F.lit(f"(\nIFS= read -r -d '' {SCRIPT_NAME} <<'"), mark, F.lit("' || :\n"), body, F.lit("\n"), mark, F.lit(f'\nbash -lc "${{{SCRIPT_NAME}%?}}"\n)')))
 
 
 def sed_text(value: Column, replacement: bool = False) -> Column:
@@ -136,8 +136,8 @@ def replace_everywhere(path: Column, old: Column, new: Column) -> Column:
     test = shell_word(F.concat(F.lit("\\|"), find, F.lit("|q0; $q1")))
     change = shell_word(F.concat(F.lit("s|"), find, F.lit("|"), sed_text(new, True), F.lit("|g")))
     guard = F.concat(F.lit("( test -f "), at, F.lit(" && test -s "), at, F.lit(" && LC_ALL=C sed -z -n "), test, F.lit(" -- "), at)
-    stage = F.concat(F.lit(" || exit $?; tb_replace_tmp=$(mktemp) || exit $?; trap 'rm -f -- \"$tb_replace_tmp\"' EXIT; LC_ALL=C sed -z "), change, F.lit(" -- "), at)
-    return F.when(old != "", F.concat(guard, stage, F.lit(' > "$tb_replace_tmp" && cat -- "$tb_replace_tmp" > '), at, F.lit(" )")))
+    stage = F.concat(F.lit(f" || exit $?; {COPY_NAME}=$(mktemp) || exit $?; trap 'rm -f -- \"${COPY_NAME}\"' EXIT; LC_ALL=C sed -z "), change, F.lit(" -- "), at)
+    return F.when(old != "", F.concat(guard, stage, F.lit(f' > "${COPY_NAME}" && cat -- "${COPY_NAME}" > '), at, F.lit(" )")))
 
 
 def delete_command(path: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text as X
 from quern.operators.session_sql import BASE, DISPATCH, LINES, WORD
-from quern.plans.codes import READ_ONLY_KINDS
+from quern.plans.codes import CONTENT_MARK, READ_ONLY_KINDS
 from quern.sources import sessions as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,7 +147,7 @@ def _writes(spark: SparkSession, d: str) -> DataFrame:
     return _calls(spark, d).select(F.coalesce(_argument("path"), _argument("file_path"), _argument("filePath")).alias("path"), content.alias("content")).where("path is not null and content is not null")
 
 
-@query(BASE + _WRITES + f""", w AS (SELECT CASE WHEN content LIKE '%' || chr(10) THEN 'cat > ' || {WORD.format('path')} || ' <<''TB_CONTENT_' || substr(sha256(content), 1, 16) || '''' || chr(10) || content || 'TB_CONTENT_' || substr(sha256(content), 1, 16)
+@query(BASE + _WRITES + f""", w AS (SELECT CASE WHEN content LIKE '%' || chr(10) THEN 'cat > ' || {WORD.format('path')} || ' <<''{CONTENT_MARK}' || substr(sha256(content), 1, 16) || '''' || chr(10) || content || '{CONTENT_MARK}' || substr(sha256(content), 1, 16)
   ELSE 'printf ''%s'' ' || {WORD.format('content')} || ' > ' || {WORD.format('path')} END AS command FROM w0 WHERE path IS NOT NULL AND content IS NOT NULL) SELECT {_mark_sql('command')} FROM w""")
 def write_commands(spark: SparkSession, d: str) -> DataFrame:
     return _writes(spark, d).select(X.write_command(F.col("path"), F.col("content")).alias("command")).agg(*_mark(F.col("command")))

@@ -3,6 +3,11 @@ reason and requirement codes.  They are what users' data and reports hold."""
 
 from __future__ import annotations
 
+#: Names in generated shell text and the beginning of target call ids.
+CONTENT_MARK, CONTENT_MARK_MORE = "TB_CONTENT_", "_X"
+SCRIPT_MARK, SCRIPT_MARK_MORE = "TB_SCRIPT", "_END"
+SCRIPT_NAME, COPY_NAME, STATUS_NAME = "tb_source_script", "tb_replace_tmp", "tb_glob_status"
+CALL_ID = "tb_"
 VERSION = "source-ir-target-v3"
 TRAINING_VERSION = "source_ir_training_v3"
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 from quern.plans import shell
-from quern.plans.codes import TARGETS, Refusal, Target
+from quern.plans.codes import STATUS_NAME, TARGETS, Refusal, Target
 from quern.plans.globs import glob_to_regex
 from quern.plans.patches import apply_hunks, read_patch
 
@@ -193,8 +193,8 @@ class _Plan:
             self.needs("tr")
             match = ["rg", "--no-config", "--null-data", "--no-line-number", "--no-heading", "--color", "never", "-e", glob_to_regex(pattern, root)]
             good = "-le 1" if policy.empty_matches == "success_empty" else "-eq 0"
-            checks = f'test "${{tb_glob_status[0]}}" -le 1 && test "${{tb_glob_status[1]}}" {good} && test "${{tb_glob_status[2]}}" -eq 0'
-            self.run(f"( {shell.line([*listing, '--null', '--', root])} | {shell.line(match)} | tr '\\0' '\\n'; tb_glob_status=(\"${{PIPESTATUS[@]}}\"); {checks} )", "rg")
+            checks = f'test "${{{STATUS_NAME}[0]}}" -le 1 && test "${{{STATUS_NAME}[1]}}" {good} && test "${{{STATUS_NAME}[2]}}" -eq 0'
+            self.run(f"( {shell.line([*listing, '--null', '--', root])} | {shell.line(match)} | tr '\\0' '\\n'; {STATUS_NAME}=(\"${{PIPESTATUS[@]}}\"); {checks} )", "rg")
             self.verify("explicit_ripgrep_search_policy")
         self.notes.append("Policies the source leaves open stay open.")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import shlex
 
-from quern.plans.codes import Refusal
+from quern.plans.codes import CONTENT_MARK, CONTENT_MARK_MORE, COPY_NAME, SCRIPT_MARK, SCRIPT_MARK_MORE, SCRIPT_NAME, Refusal
 
 
 def word(value: object) -> str:
@@ -48,7 +48,7 @@ def write_file(path: str, content: str) -> str:
     quoted = word(content)
     if not content.endswith("\n"):
         return f"printf '%s' {quoted} > {word(path)}"
-    mark = _free_mark("TB_CONTENT_" + hashlib.sha256(content.encode("utf-8", "surrogatepass")).hexdigest()[:16], "_X", content)
+    mark = _free_mark(CONTENT_MARK + hashlib.sha256(content.encode("utf-8", "surrogatepass")).hexdigest()[:16], CONTENT_MARK_MORE, content)
     return f"cat > {word(path)} <<'{mark}'\n{content}{mark}"
 
 
@@ -62,8 +62,8 @@ def subshell(body: str) -> str:
 def login_shell(body: str) -> str:
     """``body`` as the literal script of a login shell, with its own stdin."""
     text = body_text(body)
-    mark = _free_mark("TB_SCRIPT", "_END", text)
-    return f"(\nIFS= read -r -d '' tb_source_script <<'{mark}' || :\n{text}\n{mark}\nbash -lc \"${{tb_source_script%?}}\"\n)"
+    mark = _free_mark(SCRIPT_MARK, SCRIPT_MARK_MORE, text)
+    return f"(\nIFS= read -r -d '' {SCRIPT_NAME} <<'{mark}' || :\n{text}\n{mark}\nbash -lc \"${{{SCRIPT_NAME}%?}}\"\n)"
 
 
 def sed_text(value: str, replacement: bool = False) -> str:
@@ -82,8 +82,8 @@ def replace_everywhere(path: str, old: str, new: str) -> str:
     change = word(f"s|{find}|{sed_text(new, True)}|g")
     return (
         f"( test -f {at} && test -s {at} && LC_ALL=C sed -z -n {test} -- {at} || exit $?; "
-        f"tb_replace_tmp=$(mktemp) || exit $?; trap 'rm -f -- \"$tb_replace_tmp\"' EXIT; "
-        f'LC_ALL=C sed -z {change} -- {at} > "$tb_replace_tmp" && cat -- "$tb_replace_tmp" > {at} )'
+        f"{COPY_NAME}=$(mktemp) || exit $?; trap 'rm -f -- \"${COPY_NAME}\"' EXIT; "
+        f'LC_ALL=C sed -z {change} -- {at} > "${COPY_NAME}" && cat -- "${COPY_NAME}" > {at} )'
     )
 
 
