@@ -331,7 +331,9 @@ def _total(df: DataFrame, what: Column) -> int:
 
 
 def similarity_join(records: DataFrame, text_of: Callable[[str | None], str], width: int, threshold: float, two_sides: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(members, links) of ``records`` (node string, side int, text string).
+    """(members, links) of ``records`` (node string, side int, text string),
+    which must be read from files (or written first), so that a block made
+    again after a loss is the same block.
 
     members: node, side, class - every node with runs, under the key of its set.
     links: a, b, shared - linked classes of different sets, each once; with
