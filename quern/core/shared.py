@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +40,23 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the workers this package, once for each application, so that they
+    need no path of their own to it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="quern-"), "quern.zip")  # served by the driver
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(package):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), os.path.dirname(package)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
