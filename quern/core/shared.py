@@ -23,12 +23,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+def materialize(df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back: later
-    stages neither repeat its work nor depend on an executor that may be lost."""
+    stages neither repeat its work nor depend on an executor that may be lost.
+    With ``by`` there is a folder of each value of that text column."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quern-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    to = df.write.option("compression", "zstd")
+    (to.partitionBy(by) if by else to).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,8 +24,9 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def _table(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        rows = _exported(spark, d) if kind in ("span", "region", "decision", "reason") else _sessions(spark, d)
-        return variants.table(rows, kind)
+        rows = _exported(spark, d) if kind in ("span", "region", "decision", "reason", "verification") else _sessions(spark, d)
+        out = variants.table(rows, kind)
+        return out.unionByName(variants.table(_exported(spark, d), kind)).distinct() if kind == "item" else out
 
     return run
 
@@ -34,8 +35,12 @@ def p4_variants(spark: SparkSession, d: str) -> DataFrame:
     return variants.variants(_sessions(spark, d)).unionByName(variants.variants(_exported(spark, d)))
 
 
+def p4_members(spark: SparkSession, d: str) -> DataFrame:
+    return variants.members(_sessions(spark, d)).unionByName(variants.members(_exported(spark, d)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p4_found": p4_found, "p4_variants": p4_variants} | {f"p4_{kind}s": _table(kind) for kind in variants.COLUMNS}
+    return {"p4_found": p4_found, "p4_variants": p4_variants, "p4_members": p4_members} | {f"p4_{kind}s": _table(kind) for kind in variants.COLUMNS}
 
 
 _LINKS = (
