@@ -429,8 +429,9 @@ LINKS = ("call", "answer", "param", "span", "reason")
 
 
 def links(rows: DataFrame) -> DataFrame:
-    """id, target_harness, kind, parent_pos, child of every parent-child link."""
-    return nodes(rows, LINKS).select("id", "target_harness", "kind", "parent_pos", "child")
+    """id, target_harness, kind, parent_pos, child of every parent-child link,
+    read from the subtype tables."""
+    return routed(rows).where(F.col("kind").isin(*LINKS)).select("id", "target_harness", "kind", "parent_pos", "child")
 
 
 def all_links(trajectories: DataFrame, training_rows: DataFrame) -> DataFrame:

@@ -42,6 +42,13 @@ def test_verified_properties_have_rows(spark):
     assert [r["value"] for r in of_kind(tables, "item")] == ["cwd"]
 
 
+def test_links_come_from_routed_rows(spark):
+    tables = V.routed(sessions(spark))
+    assert tables.where("variant IS NULL OR own IS NULL").count() == 0
+    plan = V.links(sessions(spark))._jdf.queryExecution().toString()
+    assert "quern-subtypes" in plan and "MapInArrow" not in plan
+
+
 def test_members_hold_all_columns(spark):
     got = {(r["kind"], r["name"], r["value"]) for r in V.members(sessions(spark)).collect()}
     assert {("block", "thinking", "b"), ("call", "type", "function"), ("possible_call", "value", "q"), ("message", "more.n", "3")} <= got
