@@ -219,19 +219,33 @@ def message_nodes(messages: list) -> Iterator[tuple]:
                     yield "answer", at, after, f"{k}:{after}", _NO_OBJECT, {"call_pos": k, "message_pos": after}
 
 
-def _properties(schema: Any, prefix: str, depth: int = 0) -> Iterator[tuple[str, Any, bool]]:
+def _inner_schemas(schema: Any, prefix: str) -> Iterator[tuple]:
+    """(path, schema, required, prefix of its properties) of the properties and
+    items of a schema, path None for items."""
     if isinstance(schema, str):
         schema = loads(schema)
-    if not isinstance(schema, dict) or depth > 64:
+    if not isinstance(schema, dict):
         return
     inner = schema.get("properties")
     required = schema.get("required") if isinstance(schema.get("required"), list) else []
     for name, sub in inner.items() if isinstance(inner, dict) else ():
-        yield prefix + name, sub, name in required
-        yield from _properties(sub, f"{prefix}{name}.", depth + 1)
+        yield prefix + name, sub, name in required, f"{prefix}{name}."
     items = schema.get("items")
     for item in items if isinstance(items, list) else [items]:
-        yield from _properties(item, prefix, depth + 1)
+        yield None, item, False, prefix
+
+
+def _properties(schema: Any) -> Iterator[tuple[str, Any, bool]]:
+    stack = [_inner_schemas(schema, "")]
+    while stack:
+        step = next(stack[-1], None)
+        if step is None:
+            stack.pop()
+            continue
+        path, sub, required, prefix = step
+        if path is not None:
+            yield path, sub, required
+        stack.append(_inner_schemas(sub, prefix))
 
 
 def _bare(schema: Any) -> Any:
@@ -263,7 +277,7 @@ def tool_nodes(tools: list) -> Iterator[tuple]:
         own = tool.get("function") if isinstance(tool.get("function"), dict) else tool
         parameters = own.get("parameters")
         yield "tool", None, at, str(at), tool, {"name": _text(own.get("name")), "description": _text(own.get("description")), "parameters_are": _kind_of(parameters)}
-        for k, (path, sub, required) in enumerate(_properties(parameters, "")):
+        for k, (path, sub, required) in enumerate(_properties(parameters)):
             kind = sub.get("type") if isinstance(sub, dict) else None
             yield "param", at, k, path, _bare(sub), {"path": path, "type": kind if isinstance(kind, str) or kind is None else canonical(kind), "required": required}
 

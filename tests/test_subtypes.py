@@ -58,3 +58,23 @@ def test_names_that_differ_in_case_only_stay_apart(spark):
     df = spark.createDataFrame([("i", json.dumps([{"role": "r", "Role": "R", "id": "own", "a.b": 1, "a": {"b": 2**70}}]))], "id string, messages_json string")
     (row,) = of_kind(V.routed(df), "message")
     assert {"r", "R", "own", 1, str(2**70)} <= set(row.values()) and row["id"] == "i"
+
+
+def test_properties_at_any_depth():
+    for depth in (200, 3000):
+        deep = value = {}
+        for k in range(depth):
+            value["properties" if k % 2 else "items"] = {"x": {}} if k % 2 else {"properties": {"x": {}}}
+            value = value["properties"]["x"] if k % 2 else value["items"]["properties"]["x"]
+        got = [path for kind, _, _, path, *_ in V.tool_nodes([{"name": "f", "parameters": deep}]) if kind == "param"]
+        assert len(got) == depth and got[-1] == ".".join("x" * depth)
+
+
+def test_shapes_of_any_depth_differ():
+    def nested(leaf, depth=3000):
+        for _ in range(depth):
+            leaf = {"m": leaf}
+        return leaf
+
+    a = V.ShapeAutomaton()
+    assert a.state(nested(1)) != a.state(nested("x")) and a.name(nested(1, 40)) != a.name(nested("x", 40))
