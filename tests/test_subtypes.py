@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import functions as F
-
 from quern.operators import variants as V
 
 MESSAGES = [
@@ -78,3 +76,9 @@ def test_shapes_of_any_depth_differ():
 
     a = V.ShapeAutomaton()
     assert a.state(nested(1)) != a.state(nested("x")) and a.name(nested(1, 40)) != a.name(nested("x", 40))
+
+
+def test_items_hold_no_answers(spark):
+    messages = [{"role": "assistant", "tool_calls": [{"id": "a"}]}, {"role": "tool", "tool_call_id": "a", "more": [1]}]
+    df = spark.createDataFrame([("i", json.dumps(messages))], "id string, messages_json string")
+    assert [r["path"] for r in V.table(df, "item").collect()] == ["more"]
