@@ -16,7 +16,16 @@ from itertools import chain
 import numpy as np
 
 WINDOW, STRIDE = 16, 8
-WORD_DIM, CHAR_DIM, HIDDEN, CHAR_BUCKETS, GRAMS = 16, 16, 16, 4096, 14
+WORD_DIM, CHAR_DIM, HIDDEN, CHAR_BUCKETS = 16, 16, 16, 4096
+#: Letters of a piece of a long word and of a run of a script without spaces, and
+#: from one piece to the next, so that pieces overlap and no letter is left out.
+PIECE, PIECE_STEP, DENSE_PIECE, DENSE_STEP = 16, 10, 4, 2
+#: Character inputs of a piece: its beginning and all its 3-grams.
+GRAMS = PIECE + 1
+#: Of the labelled texts' scores by a network that has not seen them: see ``fit``.
+DOUBT, CONTRADICTED, NEGATIVE_BELOW, POSITIVE_ABOVE, CASE_RANGE = 0.95, 0.95, 0.98, 0.9, (0.8, 0.98)
+#: Negative windows scored highest that a training round shows more often.
+HARD = 3000
 #: Words kept by a scorer between batches (about 400 bytes each).
 KEPT_WORDS = 60_000
 
@@ -28,19 +37,34 @@ _SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_*· ][^\W\d_]){3,}(?![^\W_])")
 _SIGN = re.compile(r"(?<=[^\W\d_])[@$!](?=[^\W\d_])")
 _SIGNS = {"@": "a", "$": "s", "!": "i"}
 _WORDS = re.compile(r"[^\W_]+")
+#: Letters of scripts written without spaces: Thai to Tibetan, Khmer, kana, ideographs.
+_DENSE = "\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_DENSE_LETTER, _RUNS = re.compile(f"[{_DENSE}]"), re.compile(f"[{_DENSE}]+|[^{_DENSE}]+")
 _REPEAT = re.compile(r"(.)\1{2,}")
 
 
 def words(text: str) -> list[str]:
     """Raw words of a text in lower case, with hidden characters removed, look-
-    alike letters replaced and words spelled letter by letter joined."""
+    alike letters replaced and words spelled letter by letter joined.  Long words
+    and runs of scripts without spaces are given as overlapping pieces."""
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text).translate(_HIDDEN).lower().translate(_ALIKE)
         text = "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
     text = _SPACED.sub(lambda m: re.sub(r"[\W_]", "", m.group()), text.lower())
     if "@" in text or "$" in text or "!" in text:
         text = _SIGN.sub(lambda m: _SIGNS[m.group()], text)
-    return _WORDS.findall(text)
+    found = _WORDS.findall(text)
+    if all(len(w) <= PIECE for w in found) and (text.isascii() or not _DENSE_LETTER.search(text)):
+        return found
+    return [piece for w in found for piece in _pieces(w)]
+
+
+def _pieces(word: str) -> list[str]:
+    out: list[str] = []
+    for run in _RUNS.findall(word):
+        size, step = (DENSE_PIECE, DENSE_STEP) if _DENSE_LETTER.match(run) else (PIECE, PIECE_STEP)
+        out += [run[k : k + size] for k in range(0, max(1, len(run) - size + step), step)]
+    return out
 
 
 def plain(word: str) -> str:
@@ -50,15 +74,14 @@ def plain(word: str) -> str:
         return "#"
     if any(c.isdigit() for c in word):
         word = word.translate(_LEET)
-    return _REPEAT.sub(r"\1", word)[:40]
+    return _REPEAT.sub(r"\1", word)
 
 
 def grams(word: str) -> list[int]:
-    """Buckets of the character 3-grams and the 4-letter beginning of a word."""
+    """Buckets of the character 3-grams and the 4-letter beginning of a piece."""
     w = f"<{word}>"
     parts = [w[i : i + 3] for i in range(len(w) - 2)] or [w]
-    step = max(1, -(-len(parts) // (GRAMS - 1)))
-    return [zlib.crc32(p.encode("utf-8", "replace")) % CHAR_BUCKETS for p in [w[:5] + "|", *parts[::step]]][:GRAMS]
+    return [zlib.crc32(p.encode("utf-8", "replace")) % CHAR_BUCKETS for p in [w[:5] + "|", *parts]]
 
 
 def window_starts(n: int) -> list[int]:
@@ -79,6 +102,7 @@ class Network:
             return (rng.standard_normal(shape) * scale).astype(np.float32)
 
         self.vocabulary = vocabulary
+        self.case = 0.5
         self.p = {"word": random(len(vocabulary) + 1, WORD_DIM, scale=0.1), "char": random(CHAR_BUCKETS, CHAR_DIM, scale=0.1), "att": random(2 * h, 2 * h, scale=0.2), "attv": random(2 * h, scale=0.2), "out": random(2 * h, classes, scale=0.3), "outb": np.zeros(classes, np.float32)}
         for way in "fb":
             self.p |= {f"w{way}": random(d, 3 * h, scale=d**-0.5), f"u{way}": random(h, 3 * h, scale=h**-0.5), f"c{way}": np.zeros(3 * h, np.float32)}
@@ -316,16 +340,26 @@ def _train(net: Network, sample: _Sample, steps: int, chosen: dict[int, int], ne
         _adam(net.p, g, m, v, step, rate * (1.05 - step / steps))
 
 
-def fit(texts: list[list[str]], labels: list[int], classes: int, steps: tuple[int, int, int] = (200, 250, 350), seed: int = 5) -> Network:
-    """A network for texts (raw words) with a label each (0: none).
+def _log_odds(score: np.ndarray) -> np.ndarray:
+    inside = np.clip(score, 1e-6, 1 - 1e-6)
+    return np.log(inside / (1 - inside))
+
+
+def fit(texts: list[list[str]], labels: list[int], classes: int, agreed: list[bool] | None = None, steps: tuple[int, int, int] = (200, 250, 350), seed: int = 5) -> Network:
+    """A network for texts (raw words) with a label each (0: none); agreed:
+    whether two reviewers gave it.
 
     A text's label holds for some window of it, and labels may be wrong.  So
     two networks are trained first, each on one half, with the windows of most
-    telling words; each then chooses the windows of the other half and leaves
-    out the texts whose label it firmly contradicts.  The network itself is
-    trained on what is left, in two rounds; before the second it chooses the
-    windows again, and the negative windows scored highest.  The number of
-    steps is fixed, whatever the number of texts."""
+    telling words; each then scores the other half and chooses its windows.  A
+    positive text is left out if it scores no higher than DOUBT of the negative
+    ones do, unless two reviewers agree on it; a negative one if it scores
+    CONTRADICTED or more.  The network itself is trained on what is left, in two
+    rounds; before the second it chooses the windows again, and the negative
+    windows scored highest.  The number of steps is fixed, whatever the number
+    of texts.  ``network.case``, the score from which a document is a case, is
+    the middle in log odds between what NEGATIVE_BELOW of the other half's
+    negative texts stay below and what POSITIVE_ABOVE of its positive ones reach."""
     rng = np.random.default_rng(seed)
     sample = _Sample(texts, labels, classes)
     net = Network(sample.vocabulary, classes, seed)
@@ -335,25 +369,29 @@ def fit(texts: list[list[str]], labels: list[int], classes: int, steps: tuple[in
         net.p["outb"][0] = 20.0  # nothing to learn from: no text is scored as a case
         return net
     chosen, hard = sample.telling(positive, negative), []
-    if len(positive) >= 40 and len(negative) >= 40:
-        # With few texts a rare expression may stand once, unknown to the other half.
-        doubt = 0.5 if len(positive) >= 300 else 0.03
-        kept, clean = {}, []
+    if len(positive) > 1 and len(negative) > 1:  # a text in either half
+        held, start, windows = np.zeros(len(texts)), {}, []
         for half in (0, 1):
             own_p, own_n = positive[half::2], negative[half::2]
             judge = Network(sample.vocabulary, classes, seed + 1 + half)
             _train(judge, sample, steps[0], sample.telling(own_p, own_n), own_n, [], rng, 5e-3)
-            top, windows = sample.top_windows(judge, positive[1 - half :: 2] + negative[1 - half :: 2])
-            kept |= {k: top[k][1] for k in positive[1 - half :: 2] if top[k][0] >= doubt}
-            clean += [k for k in negative[1 - half :: 2] if top[k][0] < 0.95]
-            hard += [(k, s) for x, k, s in windows if not labels[k] and x < 0.95]
-        if len(kept) >= len(positive) // 3:
-            chosen, negative = kept, clean
-            positive = [*kept]
+            top, found = sample.top_windows(judge, positive[1 - half :: 2] + negative[1 - half :: 2])
+            windows += found
+            for k, (score, at) in top.items():
+                held[k], start[k] = score, at
+        doubt = np.quantile(held[negative], DOUBT)
+        kept = [k for k in positive if held[k] >= doubt or (agreed is not None and agreed[k])]
+        clean = [k for k in negative if held[k] < CONTRADICTED]
+        if kept and clean:
+            positive, negative, chosen = kept, clean, {k: start[k] for k in kept}
+            known = set(clean)
+            hard = [(k, s) for _, k, s in sorted((w for w in windows if w[1] in known), reverse=True)[:HARD]]
+            ends = _log_odds(np.array([np.quantile(held[clean], NEGATIVE_BELOW), np.quantile(held[kept], 1 - POSITIVE_ABOVE)]))
+            net.case = float(np.clip(1 / (1 + np.exp(-ends.mean())), *CASE_RANGE))
     _train(net, sample, steps[1], chosen, negative, hard, rng, 5e-3)
     top, windows = sample.top_windows(net, positive + negative)
     chosen = {k: top[k][1] for k in positive}
     known = set(negative)
-    hard = [(k, s) for _, k, s in sorted((w for w in windows if w[1] in known), reverse=True)[:3000]]
+    hard = [(k, s) for _, k, s in sorted((w for w in windows if w[1] in known), reverse=True)[:HARD]]
     _train(net, sample, steps[2], chosen, negative, hard, rng, 3e-3)
     return net
