@@ -11,24 +11,16 @@ import hashlib
 import json
 from typing import Any
 
-#: How often a value may be a JSON string holding JSON before it is taken as text.
-MAX_ENCODINGS = 3
-
 
 def loads(text: str | None) -> Any:
-    """The value of ``text``, or None if it has none; a string value that holds
-    an array or object (encoded twice) is read again."""
-    for _ in range(MAX_ENCODINGS):
-        if not isinstance(text, str) or not text.strip():
-            return None
+    """The value of ``text``, or None if it has none; a string value (encoded
+    twice, or more often) is read again, and each time it is shorter."""
+    while isinstance(text, str) and text.strip():
         try:
-            value = json.loads(text)
+            text = json.loads(text)
         except (ValueError, RecursionError):
             return None
-        if not isinstance(value, str):
-            return value
-        text = value
-    return None
+    return None if isinstance(text, str) else text
 
 
 def load_list(text: str | None) -> list:

@@ -11,13 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one is set only
-    where the session names none (tests, a single machine)."""
+    """The folder named by spark.checkpoint.dir.  Where the session names none a
+    temporary one is set on a single machine (master local); on a cluster that
+    is an error, as no other executor would find what is written there."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         have = spark.sparkContext._jsc.sc().getCheckpointDir()
         folder = have.get() if have.isDefined() else None
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="quern-shared-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")

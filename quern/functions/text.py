@@ -99,11 +99,12 @@ def lines(text: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
 
 
-def free_mark(mark: Column, suffix: str, text: Column, tries: int = 4) -> Column:
-    """``mark`` with suffixes until no line of ``text`` is it; null beyond ``tries``."""
-    own = lines(text)
-    marks = [F.concat(mark, F.lit(suffix * n)) for n in range(tries)]
-    return F.coalesce(*(F.when(~F.array_contains(own, m), m) for m in marks))
+def free_mark(mark: Column, suffix: str, text: Column) -> Column:
+    """``mark`` with suffixes until no line of ``text`` is it: at most as many as
+    there are lines that begin with it."""
+    taken = F.filter(lines(text), lambda x: x.startswith(mark))
+    tries = F.transform(F.sequence(F.lit(0), F.size(taken)), lambda n: F.concat(mark, F.repeat(F.lit(suffix), n)))
+    return F.filter(tries, lambda m: ~F.array_contains(taken, m))[0]
 
 
 def write_command(path: Column, content: Column) -> Column:

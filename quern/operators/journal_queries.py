@@ -37,7 +37,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _regions(spark: SparkSession, d: str) -> DataFrame:
-    rows = _table(spark, d, "training_rows").select("id", "target_harness", F.size("message_loss_mask").alias("n_mask"), "bridge_provenance_json", F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("row_key"))
+    rows = _table(spark, d, "training_rows").select("id", "target_harness", F.size("message_loss_mask").alias("n_mask"), "bridge_provenance_json", S.row_key().alias("row_key"))
     return J.provenance_regions(rows)
 
 

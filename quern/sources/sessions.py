@@ -1,15 +1,16 @@
 """Reading sessions, and their messages, calls and definitions as native tables.
 
-``row_key`` tells delivered rows apart, also of one id: the file and the row's
-place in it, so that a row keeps its key when a lost task is run again.
+``row_key`` tells delivered rows apart, also of one id: the file's whole path
+and the row's place in it, so that a row keeps its key when a lost task is run
+again and files of one name in several folders are kept apart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.core.shared import spread
+from quern.core.shared import materialize, spread
 from quern.functions import text as X
 from quern.plans.codes import SOURCE_TOOLS, TARGETS
 
@@ -19,28 +20,42 @@ SESSION_SCHEMA = (
 )
 
 
+#: Most rows of one a file, or one a repeated id, that are sent to all executors.
+SENT_ROWS = 200_000
+
+
+def row_key() -> Column:
+    return F.concat_ws("#", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+
+
+def sent(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` for a join: sent to all executors if they are ``SENT_ROWS`` or
+    fewer; more are shuffled."""
+    return F.broadcast(rows) if n <= SENT_ROWS else rows
+
+
 def read_sessions(spark: SparkSession, path: str) -> DataFrame:
     """Sessions with ``row_key`` and the row's index in its file."""
     rows = spark.read.schema(SESSION_SCHEMA).parquet(path)
-    return rows.select("*", F.concat_ws("#", F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("row_key"), F.col("_metadata.row_index").alias("file_row_index"), F.col("_metadata.file_path").alias("file_path"))
+    return rows.select("*", row_key().alias("row_key"), F.col("_metadata.row_index").alias("file_row_index"), F.col("_metadata.file_path").alias("file_path"))
 
 
 def dense_row_index(rows: DataFrame) -> DataFrame:
     """``rows`` with ``source_row_index``: dense over all files in order of path,
-    by the number of rows before each file (a row per file is broadcast)."""
-    from pyspark.sql import Window
-
+    by the number of rows before each file.  The files are as many as the driver
+    lists anyway; up to ``SENT_ROWS`` of them are joined without a shuffle."""
     sizes = rows.groupBy("file_path").agg((F.max("file_row_index") + 1).alias("n"))
     before = sizes.withColumn("before", F.sum("n").over(Window.orderBy("file_path")) - F.col("n")).select("file_path", "before")
-    return rows.join(F.broadcast(before), "file_path").withColumn("source_row_index", F.col("before") + F.col("file_row_index")).drop("before")
+    return rows.join(sent(before, len(rows.inputFiles())), "file_path").withColumn("source_row_index", F.col("before") + F.col("file_row_index")).drop("before")
 
 
 def first_of_each_id(rows: DataFrame, index: str = "file_row_index") -> DataFrame:
-    """The first delivered row of each id.  Only keys are grouped; the rows of
-    ids that occur once pass by."""
+    """The first delivered row of each id.  Only keys are grouped.  Up to
+    ``SENT_ROWS`` repeated ids are sent to where the rows lie; with more, whole
+    rows are shuffled by id."""
     order = F.struct("file_path", index)
-    repeated = rows.groupBy("id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return rows.join(repeated, "id", "left").where(F.col("first").isNull() | (order == F.col("first"))).drop("first")
+    repeated = materialize(rows.groupBy("id").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated")
+    return rows.join(sent(repeated, repeated.count()), "id", "left").where(F.col("first").isNull() | (order == F.col("first"))).drop("first")
 
 
 def messages(rows: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def test_absolute_refuses(path, cwd):
 def test_columns_agree(spark):
     rng = random.Random(1)
     letters = list("ab'\"\\&|.[]*^$/#\n\r\t \u0085\u2028\u2029é🙂:TB_")
-    cases = ["".join(rng.choice(letters) for _ in range(rng.randrange(14))) for _ in range(200)] + ["TB_SCRIPT\nx", "# a\n\n", "x\n"]
+    cases = ["".join(rng.choice(letters) for _ in range(rng.randrange(14))) for _ in range(200)] + ["TB_SCRIPT\nx", "# a\n\n", "x\n", "\n".join("TB_SCRIPT" + "_END" * k for k in range(9)), "TB_SCRIPT\nTB_SCRIPT_END_END"]
     rows = spark.createDataFrame([(c, rng.choice(cases)) for c in cases], "a string, b string")
     a, b = F.col("a"), F.col("b")
     exact = X.replaces_exactly(F.lit("sweagent"), F.concat(b, a), a, b)
