@@ -22,6 +22,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, width: int =
     messages_json.  Ids in no group of two are left out of groups."""
     records = rows.where("id is not null").select(F.col("id").cast("string").alias("node"), F.lit(0).alias("side"), F.col("messages_json").alias("text"))
     members, links = similarity_join(records, session_text, width, threshold)
+    members = members.drop("same")
     head = members.groupBy("class").agg(F.min("node").alias("head"))
     own = members.join(head, "class").select(F.col("node").alias("a"), F.col("head").alias("b"))
     across = links.join(head.withColumnsRenamed({"class": "a", "head": "x"}), "a").join(head.withColumnsRenamed({"class": "b", "head": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))

@@ -25,13 +25,17 @@ bounded block of records at once, and no link is lost:
    in blocks and every two blocks are joined.
 
 Nulls, blank and cut-off JSON, and texts of fewer than ``width`` words have no
-runs and link to nothing.  Repeated rows and rows of equal sets are one class.
+runs and link to nothing, but have the key of the whole record where two sides
+are joined.  Repeated rows and rows of equal sets are one class.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -57,6 +61,10 @@ PASS_PAIRS = 1 << 23
 #: Most classes of candidates joined to the texts by broadcast (about 60 bytes each).
 BROADCAST_ROWS = 100_000
 
+#: What isn't a letter or digit of ASCII is a blank; words of other texts.
+_APART = bytes(b if chr(b).isalnum() and b < 128 else 32 for b in range(256))
+_LETTERS = re.compile(r"[^\W_]+")
+
 _SINGLE, _MULTI, _RECORDS, _LOCAL, _PREFIX = range(5)
 _FIELDS = ["part", "block", "side", "kind", "a", "b", "c"]
 _MAIL = "part bigint, block bigint, side int, kind int, a binary, b binary, c binary"
@@ -78,12 +86,28 @@ def _cuts(where: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(where[i]), int(i), int(j)
 
 
-def _pack(block: int, side: int, names: list[str], sets: list[np.ndarray], shards: int) -> list[tuple]:
+def record_key(text: str) -> tuple[int, int]:
+    """128 bits of a whole record's text, whatever its case, punctuation and
+    white space; zeros if it has no letter or digit."""
+    if text.isascii():
+        words = text.lower().encode().translate(_APART).split()
+    else:
+        words = [w.encode("utf-8", "replace") for w in _LETTERS.findall(unicodedata.normalize("NFKC", text).casefold())]
+    if not words:
+        return 0, 0
+    h = hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+    return int.from_bytes(h[:8], "little"), int.from_bytes(h[8:], "little")
+
+
+def _pack(block: int, side: int, names: list[str], sets: list[np.ndarray], keys: list[tuple[int, int]], shards: int) -> list[tuple]:
     """The mail of one block."""
     sizes = np.array([len(s) for s in sets], dtype=np.int32)
-    h = [_hashes(s) for s in sets]
+    h = [_hashes(s) + k for s, k in zip(sets, keys)]
     first_of: dict[tuple, int] = {}
-    sent = [k for k, x in enumerate(h) if first_of.setdefault(x, k) == k]
+    sent = [k for k, x in enumerate(h) if len(sets[k]) and first_of.setdefault(x[:2], k) == k]
+    record = (block % shards, block, side, _RECORDS, json.dumps(names).encode(), sizes.tobytes(), np.array(h, dtype=np.uint64).tobytes())
+    if not sent:
+        return [record]
     run, owner = np.concatenate([sets[k] for k in sent]), np.repeat(np.array(sent, dtype=np.uint16), sizes[sent])
     order = np.argsort(run, kind="stable")
     run, owner = run[order], owner[order]
@@ -92,10 +116,9 @@ def _pack(block: int, side: int, names: list[str], sets: list[np.ndarray], shard
     count = np.diff(np.r_[first, len(run)])
     many = np.repeat(count > 1, count)
     low = run.astype(np.uint32)
-    home = block % shards
     mail = [
-        (home, block, side, _RECORDS, json.dumps(names).encode(), sizes.tobytes(), np.array(h, dtype=np.uint64).tobytes()),
-        (home, block, side, _LOCAL, ((shard[many] << np.uint64(32)) | low[many]).tobytes(), owner[many].tobytes(), None),
+        record,
+        (block % shards, block, side, _LOCAL, ((shard[many] << np.uint64(32)) | low[many]).tobytes(), owner[many].tobytes(), None),
     ]
     for kind, where, token, extra in ((_SINGLE, shard[~many], low[~many], owner[~many]), (_MULTI, shard[first][count > 1], low[first][count > 1], count[count > 1].astype(np.uint32))):
         mail += [(part, block, side, kind, token[i:j].tobytes(), extra[i:j].tobytes(), None) for part, i, j in _cuts(where)]
@@ -107,29 +130,35 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(x), type=t) for x, t in zip(zip(*rows), kinds)], names=_FIELDS)
 
 
-def _sender(text_of: Callable[[str | None], str], width: int, shards: int):
+def _sender(text_of: Callable[[str | None], str], width: int, shards: int, whole: bool):
+    """Mail of all blocks; ``whole``: with the key of each whole record, so that
+    records without runs are sent, too."""
+
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 20, 0
         held: dict[int, list] = {}
 
         def flush(side: int) -> pa.RecordBatch:
             nonlocal made
-            names, sets, _ = held.pop(side)
+            names, sets, keys, _ = held.pop(side)
             made += 1
-            return _batch(_pack(base + made, side, names, sets, shards))
+            return _batch(_pack(base + made, side, names, sets, keys, shards))
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 names, sides = part.column(0).to_pylist(), part.column(1).to_pylist()
-                for name, side, runs in zip(names, sides, run_sets([text_of(x) for x in part.column(2).to_pylist()], width)):
-                    if name is None or not len(runs):
+                texts = [text_of(x) for x in part.column(2).to_pylist()]
+                for name, side, text, runs in zip(names, sides, texts, run_sets(texts, width)):
+                    key = record_key(text) if whole else (0, 0)
+                    if name is None or not (len(runs) or key[0]):
                         continue
-                    mine = held.setdefault(side, [[], [], 0])
+                    mine = held.setdefault(side, [[], [], [], 0])
                     mine[0].append(name)
                     mine[1].append(runs)
-                    mine[2] += len(runs)
-                    if len(mine[0]) >= BLOCK_RECORDS or mine[2] >= BLOCK_RUNS:
+                    mine[2].append(key)
+                    mine[3] += len(runs)
+                    if len(mine[0]) >= BLOCK_RECORDS or mine[3] >= BLOCK_RUNS:
                         yield flush(side)
         for side in [*held]:
             yield flush(side)
@@ -280,7 +309,7 @@ def _tier(two_sides: bool, subs: int):
     return tie
 
 
-_PROFILE = "uid bigint, node string, side int, size int, class string"
+_PROFILE = "uid bigint, node string, side int, size int, class string, same string"
 
 
 def _profiler(two_sides: bool):
@@ -288,9 +317,10 @@ def _profiler(two_sides: bool):
         for batch in batches:
             for r in batch.to_pylist():
                 names, sizes = json.loads(r["a"]), np.frombuffer(r["b"], dtype=np.int32)
-                h = np.frombuffer(r["c"], dtype=np.uint64).reshape(-1, 2).tolist()
-                classes = [_class_name(x, y, n, r["side"], two_sides) for (x, y), n in zip(h, sizes.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array((r["block"] << 16) + np.arange(len(names))), pa.array(names, pa.string()), pa.array([r["side"]] * len(names), pa.int32()), pa.array(sizes), pa.array(classes)], names=["uid", "node", "side", "size", "class"])
+                h = np.frombuffer(r["c"], dtype=np.uint64).reshape(-1, 4).tolist()
+                classes = [_class_name(x, y, n, r["side"], two_sides) for (x, y, _, _), n in zip(h, sizes.tolist())]
+                same = [f"{x:016X}{y:016X}" if x else None for _, _, x, y in h]
+                yield pa.RecordBatch.from_arrays([pa.array((r["block"] << 16) + np.arange(len(names))), pa.array(names, pa.string()), pa.array([r["side"]] * len(names), pa.int32()), pa.array(sizes), pa.array(classes), pa.array(same, pa.string())], names=["uid", "node", "side", "size", "class", "same"])
 
     return profile
 
@@ -335,18 +365,20 @@ def similarity_join(records: DataFrame, text_of: Callable[[str | None], str], wi
     which must be read from files (or written first), so that a block made
     again after a loss is the same block.
 
-    members: node, side, class - every node with runs, under the key of its set.
+    members: node, side, class, same - every node with runs, under the key of its
+    set; with ``two_sides`` also nodes without runs, and ``same`` is the key of
+    the whole record (see ``record_key``), null for one without letters.
     links: a, b, shared - linked classes of different sets, each once; with
     ``two_sides`` a is of side 0 and b of side 1, the classes of the two sides
     are kept apart and equal sets on both sides are linked too.
     """
     runs = _total(records, F.length("text").cast("bigint")) / CHARS_PER_RUN
     shards, subs = max(8, int(runs / SHARD_RUNS) + 1), max(1, math.ceil(0.4 * runs / CLASSES / CLASS_RUNS))
-    mail = records.select("node", "side", "text").mapInArrow(_sender(text_of, width, shards), _MAIL)
+    mail = records.select("node", "side", "text").mapInArrow(_sender(text_of, width, shards, two_sides), _MAIL)
     replies = mail.groupBy("part").applyInArrow(_counter(two_sides), _MAIL)
     settled = materialize(replies.groupBy("block").applyInArrow(_settler(threshold, subs), _MAIL), "prefixes")
     profiles = settled.where(F.col("kind") == _RECORDS).mapInArrow(_profiler(two_sides), _PROFILE)
-    members = profiles.select("node", "side", "class").distinct()
+    members = profiles.select("node", "side", "class", "same").distinct()
 
     ties = settled.where(F.col("kind") == _PREFIX).groupBy("part").applyInArrow(_tier(two_sides, subs), _TIES)
     if subs > 1:

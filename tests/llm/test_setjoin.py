@@ -111,13 +111,27 @@ def test_two_sides(spark, small_limits):
     rows = corpus(seed=5)
     split = {i: ("Train ", "dev", "test", None)[k % 4] for k, (i, _) in enumerate(rows)}
     df = spark.createDataFrame([(i, split[i], messages(t), "d") for i, t in rows], "id string, source_split string, messages_json string, source_dataset string").repartition(3)
-    want = {(a, b) for a, b in truth_links(rows) if split[a] and split[b] and (split[a] == "Train ") != (split[b] == "Train ")}
+    words = {i: t.lower().replace("!", "").split() for i, t in rows}
+    same = {(a, b) for a in words for b in words if a < b and words[a] == words[b]}
+    want = {(a, b) for a, b in truth_links(rows) | same if split[a] and split[b] and (split[a] == "Train ") != (split[b] == "Train ")}
     assert found(overlap.overlap_pairs(df)) == want
     report = overlap.overlap_report(df).collect()
     side = {x for p in want for x in p if split[x] != "Train "}
+    copies = {x for p in same & want for x in p if split[x] != "Train "}
+    assert sum(r["same"] for r in report) == len(copies) > 0
     assert sum(r["alike"] for r in report) == len(side) and sum(r["records"] for r in report) == sum(s in ("dev", "test") for s in split.values())
 
 
+def test_copies_without_runs_are_the_same(spark):
+    said = {"a": "fix it", "b": "Fix,  it!", "c": "请修复这个错误。", "d": "请修复这个错误", "e": "fix that", "f": " ?! ", "g": "...", "h": "ＦＩＸ it"}
+    split = {"a": "train", "c": "train", "f": "train", "e": "train"}
+    df = spark.createDataFrame([(i, split.get(i, "test"), messages(t), "s") for i, t in said.items()] + [("a", "test", messages("fix it"), "s"), ("n", "train", None, "s"), ("o", "test", None, "s")], "id string, source_split string, messages_json string, source_dataset string")
+    assert found(overlap.overlap_pairs(df)) == {("a", "b"), ("c", "d"), ("a", "h")}
+    report = overlap.overlap_report(df).collect()
+    assert [(r["records"], r["same"], r["alike"]) for r in report] == [(6, 3, 3)]
+    assert overlap.overlap_pairs(df.limit(0)).count() == 0
+
+
 def test_dirt_and_empty(spark):
     text = "one two three four five six"
     rows = [("a", messages(text)), ("b", json.dumps(messages(text))), ("c", messages(text)[:-4]), ("d", None), ("e", " "), (None, messages(text)), ("f", messages("one two")), ("g", messages("one two")), ("a", messages(text, more=1)), ("h", json.dumps([{"role": "user", "content": [{"type": "text", "text": "one two three"}, {"type": "text", "text": "four five six"}]}]))]
