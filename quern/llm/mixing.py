@@ -8,12 +8,18 @@ shards by a multivariate hypergeometric draw, and so on down to single shards;
 every shard takes its numbers from the permuted blocks, disjointly, and is
 shuffled locally.
 
-Only blocks, at most ``MAX_BLOCKS`` a source, reach the driver; documents never
-do.  The last block of a quota gives the documents that fit in what is left.
-Sources without tokens, and targets beyond max_repeats passes, give what they
-can and are reported as not met.  Documents of no target's source, and null and
-blank texts, are not drawn.  Repeated rows of a doc_id count once; repeated
-targets of one source are added up.
+The total is by default the largest at which every source can give its share
+within its repeats; a source without tokens can't at any total and is left out
+of that, and where a total is asked for, sources give what they can.  A target
+is met if the share reached is within ``TOLERANCE`` of it.
+
+Only blocks, at most about ``MAX_PLAN`` drawn ones, reach the driver; documents
+never do.  Blocks and shards grow with the table, and the last block of a quota
+is cut in parts of about ``FILL_ROWS`` documents, so that no task holds more
+than a shard's rows: whole parts are drawn in hash order, and of the next part
+the documents that fit.  Documents of no target's source, and null and blank
+texts, are not drawn.  Repeated rows of a doc_id count once; repeated targets
+of one source are added up.
 """
 
 from __future__ import annotations
@@ -27,7 +33,10 @@ from quern.core.labels import source_name
 from quern.core.shared import materialize
 from quern.llm.tokens import VOCABULARY, with_tokens
 
-BLOCK_DOCUMENTS, MAX_BLOCKS, SHARDS, MAX_SOURCES = 64, 4096, 16, 1000
+MAX_SOURCES, TOLERANCE = 1000, 0.01
+#: Documents of a block where there are few, drawn blocks planned for on the
+#: driver, blocks and tokens of a shard, documents of a part of a cut block.
+BLOCK_DOCUMENTS, MAX_PLAN, SHARD_BLOCKS, SHARD_TOKENS, FILL_ROWS = 16, 200_000, 16, 1 << 20, 4096
 
 
 def splitting_tree(counts: np.ndarray, shards: int, rng: np.random.Generator) -> np.ndarray:
@@ -47,34 +56,37 @@ def _sized(documents: DataFrame, vocabulary: str) -> DataFrame:
     return materialize(with_tokens(rows, vocabulary).where("tokens > 0").groupBy("doc_id").agg(F.min("source").alias("source"), F.max("tokens").alias("tokens")), "sizes")
 
 
-def draw_plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, shards: int = SHARDS, seed: int = 7, vocabulary: str = VOCABULARY) -> tuple[DataFrame, list[tuple], list[tuple], dict[str, tuple]]:
+def largest_total(facts: dict[str, tuple]) -> int:
+    """The most tokens at which every source gives its share.  facts: share,
+    repeats, documents, tokens by source."""
+    return int(min((repeats * tokens / share for share, repeats, _, tokens in facts.values() if share > 0 and repeats * tokens > 0), default=0))
+
+
+def draw_plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, shards: int | None = None, seed: int = 7, vocabulary: str = VOCABULARY) -> tuple[DataFrame, list[tuple], list[tuple], dict[str, tuple]]:
     """(documents with source, block and tokens; draws: source, block, pass,
-    shard; cuts: source, block, pass, tokens left, shard; facts by source)."""
+    shard; cuts: source, block, pass, tokens left, parts, shard; facts by source)."""
     wanted = targets.select(source_name(F.col("source")).alias("source"), F.col("target_share").cast("double"), F.col("max_repeats").cast("bigint")).where("source is not null")
     wanted = wanted.groupBy("source").agg(F.sum("target_share").alias("share"), F.max("max_repeats").alias("repeats")).orderBy("source").limit(MAX_SOURCES + 1).collect()
     if len(wanted) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
     sized = _sized(documents, vocabulary)
     have = {r["source"]: (r["n"], r["tokens"]) for r in sized.where(F.col("source").isin([r["source"] for r in wanted])).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")).collect()}
-    blocks = {s: min(MAX_BLOCKS, max(1, n // BLOCK_DOCUMENTS)) for s, (n, _) in have.items()}
+    facts = {r["source"]: (max(0.0, float(r["share"] or 0.0)), max(0, int(r["repeats"] or 0)), *have.get(r["source"], (0, 0))) for r in wanted}
+    total = largest_total(facts) if total_tokens is None else int(total_tokens)
+    facts = {s: (*f, int(round(f[0] * total))) for s, f in facts.items()}
+    blocks = {s: _blocks(n, -(-min(quota, repeats * tokens) // tokens), len(facts)) for s, (_, repeats, n, tokens, quota) in facts.items() if tokens}
     spread = F.coalesce(*[F.when(F.col("source") == s, F.lit(b)) for s, b in sorted(blocks.items())], F.lit(None).cast("int")) if blocks else F.lit(None).cast("int")
     placed = sized.withColumn("blocks", spread).where("blocks is not null").withColumn("block", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.col("blocks")).cast("int")).drop("blocks")
-    sums: dict[str, dict[int, int]] = {}
-    for r in placed.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).collect():
-        sums.setdefault(r["source"], {})[r["block"]] = r["tokens"]
-    total = sum(t for _, t in have.values()) if total_tokens is None else int(total_tokens)
+    sums: dict[str, dict[int, tuple[int, int]]] = {}
+    for r in placed.groupBy("source", "block").agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("tokens")).collect():
+        sums.setdefault(r["source"], {})[r["block"]] = (r["n"], r["tokens"])
     rng = np.random.default_rng(seed)
     drawn: dict[str, list[tuple[int, int, int | None]]] = {}
-    facts: dict[str, tuple] = {}
-    for r in wanted:
-        s, share, repeats = r["source"], max(0.0, float(r["share"] or 0.0)), max(0, int(r["repeats"] or 0))
-        n, available = have.get(s, (0, 0))
-        quota = int(round(share * total))
-        facts[s] = (share, repeats, n, available, quota)
+    for s, (_, repeats, _, available, quota) in sorted(facts.items()):
         list_, left, turn = [], min(quota, repeats * available), 0
         while left > 0 and available:
             for b in rng.permutation(sorted(sums[s])).tolist():
-                size = sums[s][b]
+                size = sums[s][b][1]
                 if left <= 0:
                     break
                 list_.append((b, turn, None if size <= left else left))
@@ -82,6 +94,8 @@ def draw_plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None
             turn += 1
         drawn[s] = list_
     names = sorted(drawn)
+    most = sum(map(len, drawn.values()))
+    shards = shards or max(1, min(most // SHARD_BLOCKS, -(-sum(f[-1] for f in facts.values()) // SHARD_TOKENS)))
     split = splitting_tree(np.array([len(drawn[s]) for s in names], dtype=np.int64), shards, rng) if names else np.zeros((shards, 0), dtype=np.int64)
     draws, cuts = [], []
     for k, s in enumerate(names):
@@ -92,33 +106,52 @@ def draw_plan(documents: DataFrame, targets: DataFrame, total_tokens: int | None
                 if left is None:
                     draws.append((s, b, turn, shard))
                 else:
-                    cuts.append((s, b, turn, int(left), shard))
+                    cuts.append((s, b, turn, int(left), -(-sums[s][b][0] // FILL_ROWS), shard))
             at += int(split[shard, k])
     return placed, draws, cuts, facts
 
 
-def _fill(block: pa.Table) -> pa.Table:
-    """The documents of a source's one cut block that fit in its rest of the
+def _blocks(documents: int, passes: int, sources: int) -> int:
+    """How many blocks a source's documents lie in."""
+    return max(1, min(documents // BLOCK_DOCUMENTS, max(16, MAX_PLAN // (sources * max(1, passes)))))
+
+
+def _fill(part: pa.Table) -> pa.Table:
+    """The documents of a source's one cut part that fit in its rest of the
     quota, taken in hash order."""
-    block = block.sort_by([("h", "ascending"), ("doc_id", "ascending")])
-    left, keep = block.column("quota")[0].as_py(), []
-    for k, size in enumerate(block.column("tokens").to_pylist()):
+    part = part.sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    left, keep = part.column("rest")[0].as_py(), []
+    for k, size in enumerate(part.column("tokens").to_pylist()):
         if size <= left:
             keep.append(k)
             left -= size
-    return block.take(pa.array(keep, pa.int64())).drop_columns(["quota", "h"])
+    return part.take(pa.array(keep, pa.int64())).drop_columns(["rest", "h"])
 
 
-def draw(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, shards: int = SHARDS, seed: int = 7, vocabulary: str = VOCABULARY) -> tuple[DataFrame, dict[str, tuple]]:
+def draw(documents: DataFrame, targets: DataFrame, total_tokens: int | None = None, shards: int | None = None, seed: int = 7, vocabulary: str = VOCABULARY) -> tuple[DataFrame, dict[str, tuple]]:
     """(drawn: shard, place, doc_id, source, pass, tokens; facts by source)."""
     spark = documents.sparkSession
     placed, draws, cuts, facts = draw_plan(documents, targets, total_tokens, shards, seed, vocabulary)
-    # Plans have at most MAX_BLOCKS rows a source and pass.
-    whole = placed.join(F.broadcast(spark.createDataFrame(draws, "source string, block int, pass int, shard int")), ["source", "block"])
-    part = placed.join(F.broadcast(spark.createDataFrame(cuts, "source string, block int, pass int, quota bigint, shard int")), ["source", "block"])
     columns = ["source", "block", "doc_id", "tokens", "pass", "shard"]
-    part = part.select(*columns, "quota", F.xxhash64("doc_id", F.lit(seed + 1)).alias("h")).groupBy("source").applyInArrow(_fill, "source string, block int, doc_id bigint, tokens bigint, pass int, shard int")
-    both = whole.select(*columns).unionByName(part.select(*columns))
+    # At most about MAX_PLAN draws, and one cut a source.
+    whole = placed.join(F.broadcast(spark.createDataFrame(draws, "source string, block int, pass int, shard int")), ["source", "block"]).select(*columns)
+    part = placed.join(F.broadcast(spark.createDataFrame(cuts, "source string, block int, pass int, quota bigint, parts int, shard int")), ["source", "block"])
+    part = part.withColumn("h", F.xxhash64("doc_id", F.lit(seed + 1))).withColumn("part", F.pmod("h", F.col("parts")).cast("int"))
+    sums: dict[str, list[tuple[int, int]]] = {}
+    for r in part.groupBy("source", "part").agg(F.sum("tokens").alias("tokens")).orderBy("source", "part").collect():
+        sums.setdefault(r["source"], []).append((r["part"], r["tokens"]))
+    ends = []
+    for s, _, _, left, parts, _ in cuts:
+        end = parts
+        for at, size in sums[s]:
+            if size > left:
+                end = at
+                break
+            left -= size
+        ends.append((s, end, left))
+    part = part.join(F.broadcast(spark.createDataFrame(ends, "source string, end int, rest bigint")), "source")
+    rest = part.where("part = end").select(*columns, "rest", "h").groupBy("source").applyInArrow(_fill, "source string, block int, doc_id bigint, tokens bigint, pass int, shard int")
+    both = whole.unionByName(part.where("part < end").select(*columns)).unionByName(rest.select(*columns))
     place = F.row_number().over(Window.partitionBy("shard").orderBy(F.xxhash64("doc_id", "pass", F.lit(seed + 2)), "doc_id", "pass"))
     return both.withColumn("place", place).select("shard", "place", "doc_id", "source", "pass", "tokens"), facts
 
@@ -129,8 +162,7 @@ def drawn_documents(documents: DataFrame, targets: DataFrame, **options) -> Data
 
 def share_report(documents: DataFrame, targets: DataFrame, **options) -> DataFrame:
     """Per target: documents and tokens there, quota, drawn documents, tokens
-    and most uses of a document, target and reached share, whether it is met
-    (within 1 % of the quota and one document)."""
+    and most uses of a document, target and reached share, whether it is met."""
     drawn, facts = draw(documents, targets, **options)
     spark = documents.sparkSession
     known = spark.createDataFrame([(s, *f) for s, f in sorted(facts.items())], "source string, target_share double, max_repeats bigint, documents bigint, available_tokens bigint, quota bigint")
@@ -138,4 +170,6 @@ def share_report(documents: DataFrame, targets: DataFrame, **options) -> DataFra
     zero = {"draws": 0, "drawn_tokens": 0, "most_uses": 0}
     out = known.join(got, "source", "left").fillna(zero)
     all_tokens = F.sum("drawn_tokens").over(Window.partitionBy(F.lit(1)))  # at most MAX_SOURCES rows
-    return out.withColumn("reached_share", F.when(all_tokens > 0, F.round(F.col("drawn_tokens") / all_tokens, 6)).otherwise(0.0)).withColumn("met", F.col("drawn_tokens") >= 0.99 * F.col("quota"))
+    reached = F.when(all_tokens > 0, F.col("drawn_tokens") / all_tokens).otherwise(0.0)
+    out = out.withColumn("met", F.abs(reached - F.col("target_share")) <= TOLERANCE * F.col("target_share")).withColumn("reached_share", F.round(reached, 6))
+    return out.select(*(c for c in out.columns if c != "met"), "met")

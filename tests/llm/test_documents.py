@@ -110,6 +110,33 @@ def test_mixing(spark):
     assert not report["empty"]["met"] and report["empty"]["drawn_tokens"] == 0 and report["a"]["most_uses"] == 1
     assert sum(r["reached_share"] for r in report.values()) == pytest.approx(1, abs=1e-4)
     assert mixing.drawn_documents(df.limit(0), targets).count() == 0
+    assert report["a"]["met"] == (abs(report["a"]["reached_share"] - 0.5) <= 0.005)
+
+
+def test_mixing_meets_every_share_where_it_can(spark, monkeypatch):
+    rng = random.Random(5)
+    data = [(k, rng.choice(["a"] * 9 + ["b"] * 3 + ["c"]), "word " * rng.randrange(1, 30), 1) for k in range(4000)]
+    df = documents(spark, data)
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.2, 3)], "source string, target_share double, max_repeats bigint")
+    for fill in (mixing.FILL_ROWS, 7):
+        monkeypatch.setattr(mixing, "FILL_ROWS", fill)
+        monkeypatch.setattr(mixing, "MAX_PLAN", 120 if fill == 7 else mixing.MAX_PLAN)
+        report = {r["source"]: r for r in mixing.share_report(df, targets).collect()}
+        assert all(r["met"] and r["most_uses"] <= r["max_repeats"] for r in report.values()), report
+        assert report["c"]["drawn_tokens"] == 3 * report["c"]["available_tokens"]  # the scarcest source sets the total
+    beyond = {r["source"]: r for r in mixing.share_report(df, targets, total_tokens=10**7).collect()}
+    assert not beyond["a"]["met"] and all(r["drawn_tokens"] == r["max_repeats"] * r["available_tokens"] for r in beyond.values())
+
+
+def test_shards_grow_with_the_total(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_TOKENS", 1000)
+    df = documents(spark, [(k, "a", "word " * (1 + k % 9), 1) for k in range(3000)])
+    targets = spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats bigint")
+    rows = mixing.drawn_documents(df, targets).collect()
+    per = {}
+    for r in rows:
+        per[r["shard"]] = per.get(r["shard"], 0) + 1
+    assert len(rows) == 3000 and len(per) > 8 and max(per.values()) < 2 * min(per.values())
 
 
 # --- the classifier
