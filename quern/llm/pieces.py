@@ -154,18 +154,21 @@ def _cutter(limit: int, overlap: int, with_text: bool):
     return cut
 
 
+def _parts(rows: DataFrame, limit: int, overlap: int, with_text: bool) -> DataFrame:
+    mask = F.col("message_loss_mask").cast("array<bigint>")
+    return spread(rows.select(F.col("id").cast("string"), "messages_json", mask.alias("message_loss_mask"))).mapInArrow(_cutter(limit, overlap, with_text), _PIECES)
+
+
 def cut_sessions(rows: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True) -> DataFrame:
     """Parts of pieces of every session over ``limit`` characters.  rows: id,
     messages_json, message_loss_mask.  start, end: the range in the message;
     repeated: how many of its characters the piece before has too."""
-    mask = F.col("message_loss_mask").cast("array<bigint>")
-    out = spread(rows.select(F.col("id").cast("string"), "messages_json", mask.alias("message_loss_mask"))).mapInArrow(_cutter(limit, overlap, with_text), _PIECES)
-    return out.dropDuplicates(["id", "variant", "piece", "part"])
+    return _parts(rows, limit, overlap, with_text).dropDuplicates(["id", "variant", "piece", "part"])
 
 
 def oversized(rows: DataFrame, limit: int = LIMIT) -> DataFrame:
     """id, message_index: -1 for each session that is cut, and each message that
     is over the limit alone."""
-    out = cut_sessions(rows, limit, with_text=False)
-    sessions = out.select("id", F.lit(-1).cast("bigint").alias("message_index"))
-    return sessions.unionByName(out.where(F.col("message_chars") > limit).select("id", "message_index")).distinct()
+    parts = _parts(rows, limit, OVERLAP if limit > OVERLAP else 0, False)
+    found = F.array(F.lit(-1).cast("bigint"), F.when(F.col("message_chars") > limit, F.col("message_index")))
+    return parts.select("id", F.explode(found).alias("message_index")).where("message_index is not null").distinct()
