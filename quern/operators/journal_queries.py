@@ -225,7 +225,7 @@ def compile_status(spark: SparkSession, d: str) -> DataFrame:
     """Calls by scaffold, kind, target and status, with distinct reasons."""
     from quern.plans.sessions import compile_sessions
 
-    return compile_sessions(_sessions(spark, d)).where("kind <> 'refused'").groupBy("source_scaffold", "kind", "target", "status").agg(F.count(F.lit(1)).alias("calls"), F.sum(F.size("tools")).alias("actions"), F.count_distinct("reason").alias("reasons"))
+    return compile_sessions(_sessions(spark, d), texts=False).where("kind <> 'refused'").groupBy("source_scaffold", "kind", "target", "status").agg(F.count(F.lit(1)).alias("calls"), F.sum(F.size("tools")).alias("actions"), F.count_distinct("reason").alias("reasons"))
 
 
 @query()
@@ -234,14 +234,14 @@ def compile_reasons(spark: SparkSession, d: str) -> DataFrame:
     from quern.plans.sessions import compile_sessions
 
     codes = F.when(F.col("reason").isNotNull(), F.array(F.struct(F.lit("reason").alias("what"), F.col("reason").alias("code")))).otherwise(F.transform("requirements", lambda r: F.struct(F.lit("requirement").alias("what"), r.alias("code"))))
-    return compile_sessions(_sessions(spark, d)).select(F.coalesce("target", F.lit("any")).alias("target"), F.explode(codes).alias("c")).groupBy("target", "c.what", "c.code").agg(F.count(F.lit(1)).alias("n"))
+    return compile_sessions(_sessions(spark, d), texts=False).select(F.coalesce("target", F.lit("any")).alias("target"), F.explode(codes).alias("c")).groupBy("target", "c.what", "c.code").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
 def compile_implementations(spark: SparkSession, d: str) -> DataFrame:
     from quern.plans.sessions import compile_sessions
 
-    return compile_sessions(_sessions(spark, d)).select("target", "kind", F.explode("implementations").alias("implementation")).groupBy("target", "kind", "implementation").agg(F.count(F.lit(1)).alias("n"))
+    return compile_sessions(_sessions(spark, d), texts=False).select("target", "kind", F.explode("implementations").alias("implementation")).groupBy("target", "kind", "implementation").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query()
@@ -263,23 +263,23 @@ def stage_counts(spark: SparkSession, d: str) -> DataFrame:
     """Sums of the staging counts by target."""
     from quern.plans.sessions import stage_sessions
 
-    staged = stage_sessions(_sessions(spark, d)).where("kind = 'staged'")
+    staged = stage_sessions(_sessions(spark, d), kinds=("staged",), bodies=False)
     both = staged.select("target", F.explode("counts").alias("what", "n")).unionByName(staged.select("target", F.concat(F.lit("rows/"), "status").alias("what"), F.lit(1).cast("bigint").alias("n")))
     return both.groupBy("target", "what").agg(F.sum("n").alias("n"))
 
 
 @query()
 def stage_ready_rows(spark: SparkSession, d: str) -> DataFrame:
-    from quern.plans.sessions import ready_rows, stage_sessions
+    from quern.plans.sessions import export_ready
 
-    return ready_rows(stage_sessions(_sessions(spark, d)))
+    return export_ready(_sessions(spark, d))
 
 
 @query()
 def stage_requests(spark: SparkSession, d: str) -> DataFrame:
     from quern.plans.sessions import stage_sessions
 
-    r = stage_sessions(_sessions(spark, d)).where("kind = 'request'")
+    r = stage_sessions(_sessions(spark, d), kinds=("request",))
     return r.select("id", "target", "seq", "request_id", "route", "eligible", F.array_join("reasons", ",").alias("reasons"), F.length("body").alias("chars"))
 
 

@@ -25,6 +25,24 @@ SOURCE_TOOLS = {
 PER_ACTION_SHELL = "Directory or environment variable changes are not persistent. Every action is executed in a new subshell."
 #: Fixed value: the statement of the default repository root.
 TESTBED_MARK = "- MODIFY: Regular source code files in /testbed"
+#: Texts that exported messages begin with or are joined by.
+CONTEXT_OPENING = "Historical source context (not a new user request or target execution):"
+UNCERTAIN_OPENING = "Recorded uncertainties:"
+EVIDENCE_OPENING = "Original source evidence (authoritative if the summary disagrees):"
+OPERATING_OPENING = "Historical source operating context (quoted record; target tools remain authoritative):\n"
+NARRATION_OPENING = "Historical source assistant context:\n"
+ROOT_OPENING = "Recorded initial repository path: "
+#: Routes of requests, origins of exported messages, outcomes of results.
+CONTEXT_ROUTE, REVIEW_ROUTE = "context_rewrite", "candidate_resolution"
+PROFILE_ORIGIN, USER_ORIGIN, OPERATING_ORIGIN, NARRATION_ORIGIN = "target_profile", "source_user", "source_operating_context", "nonterminal_source_narration"
+CLOSING_ORIGIN, ACTED_ORIGIN, REWRITE_ORIGIN, PROMOTED_ORIGIN = "source_final_text_to_target_finish", "source_observation_projection", "llm_context_rewrite", "verified_candidate_promotion"
+REVIEW_POLICY, SUPERVISION_POLICY, OBSERVATION_POLICY = "source_evidence_recompile_v1", "inherit_source_only_after_program_acceptance", "recorded_source_projection_no_target_execution"
+COALESCED = "single_file_patch_coalesced_with_one_recorded_response"
+#: Kinds of evidence.
+INITIAL_CWD, SNAPSHOT, READ_ACCESS, SOURCE_SUCCESS, PATCH_SUCCESS = "declared_initial_cwd", "exact_file_snapshot", "recorded_read_access", "bound_source_success", "bound_patch_success"
+#: The text by which a source submits, producers of results.
+SUBMISSION_MARK = "COMPLETE_TASK_AND_SUBMIT_FINAL_OUTPUT"
+MECHANICAL, CONTEXT_PRODUCER, REVIEW_PRODUCER = "mechanical_unobserved_submission_v1", "llm_segment_context_v2", "llm_candidate_review"
 READ_ONLY_KINDS = frozenset({"read_file", "find_files", "search_text", "think"})
 KINDS = ("apply_patch", "write_file", "replace_text", "find_files", "delete_file", "read_file", "run_command", "search_text", "editor_action", "finish", "think", "unsupported")
 

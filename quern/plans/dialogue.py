@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 from typing import Any
 
 from quern.plans.codes import Refusal
@@ -35,6 +36,22 @@ def message_text(message: dict) -> str:
     return "\n\n".join(filter(None, parts))
 
 
+@dataclass(frozen=True)
+class Turn:
+    """A call of the target and what was heard; nothing is where it closes."""
+
+    said: str
+    calls: list[dict]
+    weight: int
+    heard: str | None = None
+
+
+def spoken(turns: list[Turn]) -> tuple[list[dict], list[int]]:
+    """Messages and weights of turns: a call carries its weight, an answer none."""
+    pairs = [(t, [{"role": "assistant", "content": t.said, "tool_calls": t.calls}] + [{"role": "tool", "content": t.heard, "tool_call_id": t.calls[0]["id"]}] * (t.heard is not None)) for t in turns]
+    return [m for _, pair in pairs for m in pair], [t.weight if m["role"] == "assistant" else 0 for t, pair in pairs for m in pair]
+
+
 def _options(message: dict, ids: set[str]) -> set[str]:
     named, possible = message.get("tool_call_id"), message.get("possible_tool_call_ids")
     if named:

@@ -23,8 +23,10 @@ from quern.core.shared import materialize
 from quern.operators.journal import conflicts, sampled_priority
 from quern.plans import sessions as P
 from quern.plans.audit import audit_final, audit_stage
-from quern.plans.codes import PROFILES, TARGETS, TRAINING_VERSION, VERSION, Refusal
-from quern.plans.review import client_messages, envelope, error_label, evaluate, mechanical_result, promotable, read_answer
+from quern.plans.clients import client_messages, envelope, error_label, mechanical_result, read_answer
+from quern.plans.codes import CONTEXT_PRODUCER, PROFILES, REVIEW_PRODUCER, TARGETS, TRAINING_VERSION, VERSION, Refusal
+from quern.plans.requests import promotable
+from quern.plans.results import evaluate
 from quern.sources.files import content_hashes, exists, read_document, write_document, write_json_lines, write_parquet
 from quern.sources.sessions import dense_row_index, first_of_each_id, read_sessions
 
@@ -147,7 +149,7 @@ def ask(request: dict, client: Client, attempts: int = 6, sleep: Callable[[float
             if answer.finish != "stop":
                 budget = min(MOST_BUDGET, 2 * budget) if answer.finish == "length" else budget
                 raise Refusal(f"MODEL_FINISH_{answer.finish}")
-            result = envelope(request, read_answer(answer.text), "llm_candidate_review" if promotable(request) else "llm_segment_context_v2")
+            result = envelope(request, read_answer(answer.text), REVIEW_PRODUCER if promotable(request) else CONTEXT_PRODUCER)
             evaluate(request, result)
         except (ValueError, KeyError, TypeError, OSError) as e:
             error = error_label(e)

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.core.jsonio import canonical, digest
-from quern.plans.codes import Refusal
-from quern.plans.review import client_messages, envelope, evaluate, promotable
+from quern.plans.clients import client_messages, envelope
+from quern.plans.codes import CONTEXT_PRODUCER, Refusal
+from quern.plans.requests import promotable
+from quern.plans.results import evaluate
 from quern.plans.sessions import _pass
 
 PRODUCER = "reused_llm_segment_context_v2"
@@ -31,7 +33,7 @@ def donors(requests: DataFrame, journal: DataFrame) -> DataFrame:
     several, the least request id.  A journal with unfinished requests is an error."""
     if journal.where("state <> 'done'").limit(1).count():
         raise Refusal("REUSE_DONOR_INCOMPLETE")
-    fit = journal.where("producer = 'llm_segment_context_v2' and attempts = 1")
+    fit = journal.where(f"producer = '{CONTEXT_PRODUCER}' and attempts = 1")
     both = prompts(requests).where(~F.col("promotable")).join(fit.select("request_id", "result"), "request_id")
     return both.groupBy("prompt_sha256").agg(F.min("request_id").alias("donor_id"), F.min_by("result", "request_id").alias("donor_result"))
 

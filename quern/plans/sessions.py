@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from quern.core.jsonio import canonical, digest
 from quern.core.shared import spread
+from quern.plans.clients import mechanical_result
 from quern.plans.codes import TARGETS, Refusal
-from quern.plans.lowering import definitions
-from quern.plans.review import evaluate, mechanical_result
+from quern.plans.lowering import definitions, tool_calls
+from quern.plans.results import evaluate
 from quern.plans.staging import Session, Stage, assemble
 
 #: Columns of a session record; missing ones are null.
@@ -70,7 +71,7 @@ def _pass(fields: str, rows_of):
     return run
 
 
-def _plan_rows(targets: tuple[str, ...]):
+def _plan_rows(targets: tuple[str, ...], texts: bool = True):
     def rows_of(record: dict) -> Iterator[dict]:
         base = {k: record[k] for k in ("id", "source_scaffold", "split", "source_row_index")}
         try:
@@ -83,49 +84,89 @@ def _plan_rows(targets: tuple[str, ...]):
                 yield base | {
                     "target": target, "message_index": c["message_index"], "call_index": c["call_index"], "call_id": c["call_id"], "source_tool": c["source_tool"], "kind": c["operation"]["kind"], "supervised": c["supervised"], "observations": c["observation_indices"], "definition_sha256": c["definition_sha256"],
                     "status": p["status"], "reason": p["reason"], "requirements": p["requirements"], "verified": p["verified_properties"], "tools": [a["tool"] for a in p["actions"]], "implementations": [a["implementation"] for a in p["actions"]],
-                    "operation_json": canonical(c["operation"]), "actions_json": canonical(p["actions"]), "preimage_json": canonical(p["preimage_sha256"]), "source_payload_sha256": s.payload_hash,
-                }
+                } | ({"operation_json": canonical(c["operation"]), "actions_json": canonical(p["actions"]), "preimage_json": canonical(p["preimage_sha256"]), "source_payload_sha256": s.payload_hash} if texts else {})
 
     return rows_of
 
 
-def compile_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS)) -> DataFrame:
+def compile_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS), texts: bool = True) -> DataFrame:
     """A row for each call and target; sessions that can't be read, one row of
-    kind and status ``refused``."""
-    return spread(records(rows)).mapInArrow(_pass(PLAN_FIELDS, _plan_rows(targets)), PLAN_FIELDS)
+    kind and status ``refused``.  Without ``texts`` no JSON or hash is made."""
+    return spread(records(rows)).mapInArrow(_pass(PLAN_FIELDS, _plan_rows(targets, texts)), PLAN_FIELDS)
 
 
-def _stage_rows(targets: tuple[str, ...]):
+#: Kinds of rows a stage is written as; ``source`` only where it is audited.
+STAGE_KINDS = ("staged", "request", "segment", "ready", "refused")
+
+
+def _stage_rows(targets: tuple[str, ...], kinds: tuple[str, ...] = STAGE_KINDS, bodies: bool = True):
     def rows_of(record: dict) -> Iterator[dict]:
         base = {"id": record["id"], "source_scaffold": record["source_scaffold"]}
         try:
             session = Session(record)
-            stages = [Stage(session, t) for t in targets]
+            out = [base | row for t in targets for row in of_stage(Stage(session, t))]
         except Refusal as e:
-            yield base | {"kind": "refused", "status": "refused", "code": str(e)}
+            if "refused" in kinds:
+                yield base | {"kind": "refused", "status": "refused", "code": str(e)}
             return
-        for stage in stages:
-            staged, row = stage.as_dict(), None
+        if "source" in kinds:
+            yield base | {"kind": "source", "body": json.dumps({"calls": [len(tool_calls(m)) for m in session.messages], "mask": [int(bool(x)) for x in session.mask]})}
+        yield from out
+
+    def of_stage(stage: Stage) -> Iterator[dict]:
+        own = {"target": stage.target}
+        if "staged" in kinds or "ready" in kinds:
+            yield from of_session(stage, own)
+        if "request" in kinds:
+            for n, r in enumerate(stage.regions):
+                named = {"request_id": r.request["request_id"], "body": canonical(r.request)} if bodies else {}
+                yield own | named | {"kind": "request", "seq": n, "route": r.route, "eligible": r.eligible, "reasons": r.reasons, "source_indices": r.indices}
+        if "segment" in kinds:
+            for n, s in enumerate(stage.segments):
+                yield own | {"kind": "segment", "seq": n, "request_id": s.get("request_id"), "route": s["kind"], "status": s.get("origin"), "source_indices": s["source_indices"], "counts": [("messages", len(s.get("messages", []))), ("weight", sum(s.get("masks", [])))]}
+
+    def of_session(stage: Stage, own: dict) -> Iterator[dict]:
+        row, code = None, None
+        if not stage.regions or bodies:
+            staged = stage.as_dict()
             try:
                 row, state = assemble(staged, {})
-                code = None
             except Refusal as e:
                 state, code = "invalid_dialogue", str(e)
-            yield base | {"target": stage.target, "kind": "staged", "seq": 0, "status": state, "body": canonical(staged), "counts": [*stage.counts.items()], "code": code}
-            for n, r in enumerate(stage.requests):
-                p = r["payload"]
-                yield base | {"target": stage.target, "kind": "request", "seq": n, "request_id": r["request_id"], "route": p["route"], "eligible": bool((p.get("review") or {}).get("promotion_eligible")), "body": canonical(r), "reasons": p["reasons"], "source_indices": p["source_message_indices"]}
-            for n, s in enumerate(staged["segments"]):
-                yield base | {"target": stage.target, "kind": "segment", "seq": n, "request_id": s.get("request_id"), "route": s["kind"], "status": s.get("origin"), "source_indices": s["source_indices"], "counts": [("messages", len(s.get("messages", []))), ("weight", sum(s.get("masks", [])))]}
-            if row is not None:
-                yield base | {"target": stage.target, "kind": "ready", "seq": 0, "body": json.dumps(row)}
+        else:
+            state = "pending_rewrites"
+        if "staged" in kinds:
+            yield own | {"kind": "staged", "seq": 0, "status": state, "body": canonical(staged) if bodies else None, "counts": [*stage.counts.items()], "code": code}
+        if "ready" in kinds and row is not None:
+            yield own | {"kind": "ready", "seq": 0, "body": json.dumps(row)}
 
     return rows_of
 
 
-def stage_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS)) -> DataFrame:
-    """Rows of kinds staged, request, segment, ready and refused."""
-    return spread(records(rows)).mapInArrow(_pass(STAGE_FIELDS, _stage_rows(targets)), STAGE_FIELDS)
+def stage_sessions(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS), kinds: tuple[str, ...] = STAGE_KINDS, bodies: bool = True) -> DataFrame:
+    """Rows of the wanted ``kinds``.  Without ``bodies`` no JSON and no hash of
+    a request is made, which is enough to count."""
+    return spread(records(rows)).mapInArrow(_pass(STAGE_FIELDS, _stage_rows(targets, kinds, bodies)), STAGE_FIELDS)
+
+
+def export_ready(rows: DataFrame, targets: tuple[str, ...] = tuple(TARGETS)) -> DataFrame:
+    """Training rows of sessions that need no results, straight from sessions."""
+
+    def rows_of(record: dict) -> Iterator[dict]:
+        try:
+            session = Session(record)
+        except Refusal:
+            return
+        for t in targets:
+            try:
+                stage = Stage(session, t)
+                row = None if stage.regions else assemble(stage.as_dict(), {})[0]
+            except Refusal:
+                continue
+            if row is not None:
+                yield row
+
+    return spread(records(rows)).mapInArrow(_pass(ROW_FIELDS, rows_of), ROW_FIELDS)
 
 
 def ready_rows(stages: DataFrame) -> DataFrame:
