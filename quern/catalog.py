@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.operators import journal_queries, nested_queries, session_queries
+from quern.operators import compile_queries, journal_queries, nested_queries, session_queries
 
-_MODULES = (session_queries, journal_queries, nested_queries)
+_MODULES = (session_queries, compile_queries, journal_queries, nested_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

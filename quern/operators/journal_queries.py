@@ -220,30 +220,6 @@ def _sessions(spark: SparkSession, d: str) -> DataFrame:
     return S.read_sessions(spark, f"{d}/trajectories.parquet").withColumnRenamed("file_row_index", "source_row_index")
 
 
-@query()
-def compile_status(spark: SparkSession, d: str) -> DataFrame:
-    """Calls by scaffold, kind, target and status, with distinct reasons."""
-    from quern.plans.sessions import compile_sessions
-
-    return compile_sessions(_sessions(spark, d), texts=False).where("kind <> 'refused'").groupBy("source_scaffold", "kind", "target", "status").agg(F.count(F.lit(1)).alias("calls"), F.sum(F.size("tools")).alias("actions"), F.count_distinct("reason").alias("reasons"))
-
-
-@query()
-def compile_reasons(spark: SparkSession, d: str) -> DataFrame:
-    """Unsupported reasons and unmet requirements by target."""
-    from quern.plans.sessions import compile_sessions
-
-    codes = F.when(F.col("reason").isNotNull(), F.array(F.struct(F.lit("reason").alias("what"), F.col("reason").alias("code")))).otherwise(F.transform("requirements", lambda r: F.struct(F.lit("requirement").alias("what"), r.alias("code"))))
-    return compile_sessions(_sessions(spark, d), texts=False).select(F.coalesce("target", F.lit("any")).alias("target"), F.explode(codes).alias("c")).groupBy("target", "c.what", "c.code").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query()
-def compile_implementations(spark: SparkSession, d: str) -> DataFrame:
-    from quern.plans.sessions import compile_sessions
-
-    return compile_sessions(_sessions(spark, d), texts=False).select("target", "kind", F.explode("implementations").alias("implementation")).groupBy("target", "kind", "implementation").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query()
 def compiled_plans(spark: SparkSession, d: str) -> DataFrame:
     from quern.plans.sessions import compile_sessions

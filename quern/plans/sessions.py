@@ -19,6 +19,7 @@ from quern.core.shared import spread
 from quern.plans.clients import mechanical_result
 from quern.plans.codes import TARGETS, Refusal
 from quern.plans.lowering import definitions, tool_calls
+from quern.plans.requests import Region
 from quern.plans.results import evaluate
 from quern.plans.staging import Session, Stage, assemble
 
@@ -122,8 +123,12 @@ def _stage_rows(targets: tuple[str, ...], kinds: tuple[str, ...] = STAGE_KINDS,
                 named = {"request_id": r.request["request_id"], "body": canonical(r.request)} if bodies else {}
                 yield own | named | {"kind": "request", "seq": n, "route": r.route, "eligible": r.eligible, "reasons": r.reasons, "source_indices": r.indices}
         if "segment" in kinds:
-            for n, s in enumerate(stage.segments):
-                yield own | {"kind": "segment", "seq": n, "request_id": s.get("request_id"), "route": s["kind"], "status": s.get("origin"), "source_indices": s["source_indices"], "counts": [("messages", len(s.get("messages", []))), ("weight", sum(s.get("masks", [])))]}
+            for n, s in enumerate(stage.staged):
+                if isinstance(s, Region):
+                    named = {"request_id": s.request["request_id"]} if bodies else {}
+                    yield own | named | {"kind": "segment", "seq": n, "route": "rewrite", "eligible": s.eligible, "status": s.route, "source_indices": s.indices, "reasons": s.reasons, "counts": [("messages", 0), ("weight", 0)]}
+                else:
+                    yield own | {"kind": "segment", "seq": n, "route": "messages", "status": s["origin"], "source_indices": s["source_indices"], "reasons": [], "counts": [("messages", len(s["messages"])), ("weight", sum(s["masks"]))]}
 
     def of_session(stage: Stage, own: dict) -> Iterator[dict]:
         row, code = None, None
