@@ -6,6 +6,8 @@ unless said otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,20 +101,32 @@ def lines(text: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def free_mark(mark: Column, suffix: str, text: Column) -> Column:
     """``mark`` with suffixes until no line of ``text`` is it: at most as many as
     there are lines that begin with it."""
-    taken = F.filter(lines(text), lambda x: x.startswith(mark))
-    tries = F.transform(F.sequence(F.lit(0), F.size(taken)), lambda n: F.concat(mark, F.repeat(F.lit(suffix), n)))
-    return F.filter(tries, lambda m: ~F.array_contains(taken, m))[0]
+
+    def first_free(own: Column, taken: Column) -> Column:
+        tries = F.transform(F.sequence(F.lit(0), F.size(taken)), lambda n: F.concat(own, F.repeat(F.lit(suffix), n)))
+        return F.filter(tries, lambda m: ~F.array_contains(taken, m))[0]
+
+    return _let(mark, lambda own: _let(F.filter(lines(text), lambda x: x.startswith(own)), lambda taken: first_free(own, taken)))
 
 
 def write_command(path: Column, content: Column) -> Column:
     """Shell text that writes exactly ``content``."""
-    mark = free_mark(F.concat(F.lit(CONTENT_MARK), F.substring(F.sha2(content.cast("binary"), 256), 1, 16)), CONTENT_MARK_MORE, content)
-    document = F.concat(F.lit("cat > "), shell_word(path), F.lit(" <<'"), mark, F.lit("'\n"), content, mark)
-    printed = F.concat(F.lit("printf '%s' "), shell_word(content), F.lit(" > "), shell_word(path))
-    return F.when(content.endswith("\n") & ~F.contains(content, F.lit(NUL)), document).otherwise(printed)
+
+    def made(path: Column, content: Column) -> Column:
+        mark = free_mark(F.concat(F.lit(CONTENT_MARK), F.substring(F.sha2(content.cast("binary"), 256), 1, 16)), CONTENT_MARK_MORE, content)
+        document = _let(mark, lambda m: F.concat(F.lit("cat > "), shell_word(path), F.lit(" <<'"), m, F.lit("'\n"), content, m))
+        printed = F.concat(F.lit("printf '%s' "), shell_word(content), F.lit(" > "), shell_word(path))
+        return F.when(content.endswith("\n") & ~F.contains(content, F.lit(NUL)), document).otherwise(printed)
+
+    return _let(F.struct(path.alias("path"), content.alias("content")), lambda v: made(v["path"], v["content"]))
 
 
 def subshell(body: Column) -> Column:
@@ -123,7 +137,8 @@ def subshell(body: Column) -> Column:
 
 def login_shell(body: Column) -> Column:
     mark = free_mark(F.lit(SCRIPT_MARK), SCRIPT_MARK_MORE, body)
-    return F.when(~F.contains(body, F.lit(NUL)), F.concat(F.lit(f"(\nIFS= read -r -d '' {SCRIPT_NAME} <<'"), mark, F.lit("' || :\n"), body, F.lit("\n"), mark, F.lit(f'\nbash -lc "${{{SCRIPT_NAME}%?}}"\n)')))
+    script = _let(mark, lambda m: F.concat(F.lit(f"(\nIFS= read -r -d '' {SCRIPT_NAME} <<'"), m, F.lit("' || :\n"), body, F.lit("\n"), m, F.lit(f'\nbash -lc "${{{SCRIPT_NAME}%?}}"\n)')))
+    return F.when(~F.contains(body, F.lit(NUL)), script)
 
 
 def sed_text(value: Column, replacement: bool = False) -> Column:

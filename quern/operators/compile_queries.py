@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quern.operators.session_sql import BASE, DISPATCH, WORD
 from quern.plans.codes import CONTENT_MARK, PER_ACTION_SHELL, READ_ONLY_KINDS, SCRIPT_MARK, SCRIPT_NAME, TESTBED_MARK
-from quern.plans.sessions import compile_sessions
+from quern.plans.sessions import compile_sessions, stage_sessions
 from quern.sources import sessions as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,6 +214,73 @@ _add("compile_reasons", compile_reasons, PLANNED + """SELECT target, what, code,
 _add("compile_implementations", compile_implementations, PLANNED + "SELECT target, kind, how AS implementation, count(*) AS n FROM v WHERE reason IS NULL GROUP BY 1, 2, 3", compile_implementations.__doc__)
 
 
+# --- staging: blocks, the binding of their answers, routes and rows
+
+#: b: blocks with what they are; bound: the assignments of answers to calls each
+#: has; why: what speaks against turns, by target; st: what becomes of each block.
+STAGED = (
+    PLANNED.replace("WITH s0 AS", "WITH RECURSIVE s0 AS", 1)
+    + f""", g0 AS (SELECT m.*, coalesce(role = 'tool' AND last_value(CASE WHEN role IS DISTINCT FROM 'tool' THEN coalesce(role, '') END IGNORE NULLS) OVER w = 'assistant', false) AS absorbed FROM m JOIN fine USING (k) WINDOW w AS (PARTITION BY m.k ORDER BY message_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, max(CASE WHEN NOT absorbed THEN message_index END) OVER (PARTITION BY k ORDER BY message_index) AS block,
+    CASE WHEN json_type(message->'$.reasoning_content') NOT IN ('NULL', 'VARCHAR') THEN 'NON_TEXT_REASONING' WHEN json_type(content) NOT IN ('NULL', 'VARCHAR', 'ARRAY') THEN 'NON_TEXT_CONTENT'
+      WHEN json_type(content) = 'ARRAY' THEN 'NON_TEXT_CONTENT_BLOCK:' || (list_filter(from_json(content, '["json"]'), lambda x: coalesce(x->>'$.type' NOT IN ('text', 'thinking'), true))[1]->>'$.type') END AS bad,
+    length(coalesce(message->>'$.reasoning_content', '')) + CASE json_type(content) WHEN 'VARCHAR' THEN length(content->>'$') WHEN 'ARRAY' THEN list_sum(list_transform(from_json(content, '["json"]'), lambda x: coalesce(length(CASE WHEN x->>'$.type' = 'thinking' THEN x->>'$.thinking' ELSE x->>'$.text' END), 0))) ELSE 0 END AS chars
+  FROM g0),
+ids AS (SELECT k, message_index AS block, list(call_id ORDER BY call_index) AS ids, list(DISTINCT kind) AS kinds FROM l GROUP BY 1, 2),
+b AS (SELECT g.k, g.id, g.block, any_value(g.role) FILTER (NOT absorbed) AS role, any_value(coalesce(mask, 0)) FILTER (NOT absorbed) AS weight, any_value(bad) FILTER (NOT absorbed) AS bad, any_value(chars) FILTER (NOT absorbed) AS chars, count(*) FILTER (absorbed) AS answers, max(message_index) = max(n_messages) - 1 AS last, count(*) AS size,
+    list(bad ORDER BY message_index) FILTER (absorbed AND bad IS NOT NULL) AS bad_answers, any_value(ids) AS ids FROM g LEFT JOIN ids ON ids.k = g.k AND ids.block = g.block GROUP BY 1, 2, 3),
+heard AS (SELECT k, block, row_number() OVER (PARTITION BY k, block ORDER BY message_index) AS nth, CASE WHEN message->>'$.tool_call_id' <> '' THEN list_intersect([message->>'$.tool_call_id'], ids) WHEN json_type(message->'$.possible_tool_call_ids') = 'ARRAY' THEN list_intersect(from_json(message->'$.possible_tool_call_ids', '["varchar"]'), ids) ELSE ids END AS options
+  FROM g JOIN b USING (k, block) WHERE absorbed AND ids IS NOT NULL),
+tried AS (SELECT k, block, 0 AS nth, []::VARCHAR[] AS used FROM b WHERE ids IS NOT NULL AND len(ids) = answers AND len(list_distinct(ids)) = len(ids)
+  UNION ALL SELECT h.k, h.block, CAST(h.nth AS INT), list_append(used, o) FROM tried JOIN heard h ON h.k = tried.k AND h.block = tried.block AND h.nth = tried.nth + 1, unnest(h.options) AS t(o) WHERE NOT list_contains(used, o)),
+bound AS (SELECT b.k, b.block, CASE WHEN len(list_distinct(ids)) < len(ids) OR list_contains(ids, '') THEN 'NONUNIQUE_CALL_ID' WHEN len(ids) <> answers THEN 'SOURCE_RESULT_COUNT_MISMATCH' WHEN EXISTS (SELECT 1 FROM heard h WHERE h.k = b.k AND h.block = b.block AND len(options) = 0) THEN 'SOURCE_RESULT_NO_MATCH'
+    ELSE (SELECT CASE count(*) WHEN 0 THEN 'SOURCE_RESULT_NO_BIJECTION' WHEN 1 THEN NULL ELSE 'SOURCE_RESULT_AMBIGUOUS' END FROM tried t WHERE t.k = b.k AND t.block = b.block AND t.nth = b.answers) END AS fault FROM b WHERE ids IS NOT NULL),
+why AS (
+  SELECT k, message_index AS block, target, unnest(CASE WHEN reason IS NOT NULL THEN [reason] ELSE requirements END) AS code FROM v
+  UNION ALL SELECT k, block, target, fault FROM bound, t2 WHERE fault IS NOT NULL
+  UNION ALL SELECT k, block, target, coalesce(b.bad, bad_answers[1]) FROM b LEFT JOIN bound USING (k, block), t2 WHERE ids IS NOT NULL AND (b.bad IS NOT NULL OR (fault IS NULL AND bad_answers IS NOT NULL))
+), planned AS (SELECT k, message_index AS block, target, count(*) AS calls, count(*) FILTER (status <> 'unsupported') AS possible FROM v GROUP BY 1, 2, 3),
+st AS (
+  SELECT *, CASE WHEN reasons <> '' THEN CASE WHEN possible > 0 THEN 'candidate_resolution' ELSE 'context_rewrite' END WHEN role = 'assistant' AND calls > 0 THEN 'source_observation_projection' WHEN role = 'user' THEN 'source_user' WHEN role <> 'assistant' THEN 'source_operating_context' WHEN last AND chars > 0 THEN 'source_final_text_to_target_finish' ELSE 'nonterminal_source_narration' END AS what
+  FROM (SELECT b.*, target, coalesce(calls, 0) AS calls, coalesce(possible, 0) AS possible, CASE WHEN role = 'assistant' AND calls > 0 THEN coalesce((SELECT string_agg(DISTINCT code, ',' ORDER BY code) FROM why WHERE why.k = b.k AND why.block = b.block AND why.target = t2.target), '')
+      WHEN role = 'assistant' AND size > 1 THEN 'TOOL_RESULT_WITHOUT_LOCAL_CALL' WHEN coalesce(role, '') NOT IN ('assistant', 'system', 'developer', 'user') OR calls > 0 THEN 'ORPHAN_SOURCE_MESSAGE' ELSE coalesce(bad, '') END AS reasons
+    FROM b CROSS JOIN t2 LEFT JOIN planned USING (k, block, target))
+) """
+)
+
+
+def _staged(spark: SparkSession, d: str, kinds: tuple[str, ...]) -> DataFrame:
+    rows = S.read_sessions(spark, f"{d}/trajectories.parquet").withColumnRenamed("file_row_index", "source_row_index")
+    return stage_sessions(rows, kinds=kinds, bodies=False)
+
+
+def staged_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of every block: origin or route, reasons, messages and weights."""
+    rows = _staged(spark, d, ("segment",)).where("seq > 0")
+    return rows.select("id", "target", F.col("source_indices")[0].alias("block"), F.size("source_indices").cast("bigint").alias("size"), F.col("status").alias("what"), F.array_join("reasons", ",").alias("reasons"), F.col("counts")["messages"].alias("messages"), F.col("counts")["weight"].alias("weight"))
+
+
+def staged_sessions(spark: SparkSession, d: str) -> DataFrame:
+    """Each session's status and staging counts that don't rest on reviews."""
+    rows = _staged(spark, d, ("staged",)).where("status <> 'invalid_dialogue'")
+    counts = {n: F.coalesce(F.col("counts")[n], F.lit(0)) for n in ("rewrite_regions", "rewrite_source_calls", "mapped_source_calls", "supervised_target_calls", "final_text_to_finish")}
+    return rows.select("id", "target", "status", *(c.alias(n) for n, c in counts.items()))
+
+
+def staged_reasons(spark: SparkSession, d: str) -> DataFrame:
+    """Requests by target, route and reason."""
+    rows = _staged(spark, d, ("request",))
+    return rows.select("target", "route", F.explode("reasons").alias("reason")).groupBy("target", "route", "reason").agg(F.count(F.lit(1)).alias("requests"))
+
+
+_TURNS = "CASE WHEN what = 'source_observation_projection' THEN calls ELSE 0 END"
+_add("staged_blocks", staged_blocks, STAGED + f"SELECT id, target, block, size, what, reasons, CASE WHEN reasons <> '' THEN 0 WHEN what = 'source_observation_projection' THEN 2 * calls ELSE 1 END AS messages, CASE WHEN what = 'source_final_text_to_target_finish' THEN weight ELSE weight * {_TURNS} END AS weight FROM st", staged_blocks.__doc__)
+_add("staged_sessions", staged_sessions, STAGED + f""", per AS (SELECT k, id, target, count(*) FILTER (reasons <> '') AS rewrite_regions, CAST(coalesce(sum(calls) FILTER (reasons <> ''), 0) AS BIGINT) AS rewrite_source_calls, CAST(sum({_TURNS}) AS BIGINT) AS mapped_source_calls, CAST(sum(weight * {_TURNS}) AS BIGINT) AS supervised_target_calls,
+  count(*) FILTER (what = 'source_final_text_to_target_finish') AS final_text_to_finish, CAST(coalesce(sum(weight) FILTER (what = 'source_final_text_to_target_finish'), 0) AS BIGINT) AS closing FROM st GROUP BY 1, 2, 3)
+SELECT id, target, CASE WHEN rewrite_regions > 0 THEN 'pending_rewrites' WHEN supervised_target_calls + closing = 0 THEN 'no_supervised_messages' ELSE 'exported' END AS status, rewrite_regions, rewrite_source_calls, mapped_source_calls, supervised_target_calls, final_text_to_finish FROM per""", staged_sessions.__doc__)
+_add("staged_reasons", staged_reasons, STAGED + "SELECT target, what AS route, reason, count(*) AS requests FROM (SELECT target, what, unnest(string_split(reasons, ',')) AS reason FROM st WHERE reasons <> '') GROUP BY 1, 2, 3", staged_reasons.__doc__)
+
+
 # --- calls of other tools, made of those there are
 
 #: The directory such calls are in, and the tools, by name: description and properties.

@@ -200,11 +200,11 @@ def export_violations(spark: SparkSession, d: str) -> DataFrame:
     return counts.select(F.explode(F.array(*(F.struct(F.lit(name).alias("violation"), F.col(f"`{name}`").alias("n")) for name in ROW_RULES))).alias("v")).select("v.*")
 
 
-@query("SELECT id, target_harness, count(*) AS copies FROM training_rows GROUP BY 1, 2 HAVING count(DISTINCT messages_json) > 1")
+@query("SELECT id, count(*) AS copies, count(DISTINCT coalesce(split, '') || '|' || coalesce(task_group_key, '')) AS versions FROM trajectories GROUP BY 1 HAVING count(DISTINCT coalesce(split, '') || '|' || coalesce(task_group_key, '')) > 1")
 def conflicting_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Union with conflict check: one id and target with different messages."""
-    rows = _table(spark, d, "training_rows")
-    return rows.groupBy("id", "target_harness").agg(F.count(F.lit(1)).alias("copies"), F.count_distinct("messages_json").alias("bodies")).where("bodies > 1").drop("bodies")
+    """Union with conflict check: ids delivered with different metadata."""
+    version = F.concat_ws("|", F.coalesce("split", F.lit("")), F.coalesce("task_group_key", F.lit("")))
+    return _table(spark, d, "trajectories").groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.count_distinct(version).alias("versions")).where("versions > 1")
 
 
 @query("SELECT target_harness, source_scaffold, count(*) AS n, CAST(sum(list_sum(message_loss_mask)) AS BIGINT) AS weight, CAST(sum(rewrite_count) AS BIGINT) AS rewrites, CAST(sum(promoted_target_calls) AS BIGINT) AS promoted, count(*) FILTER (has_target_finish) AS finished FROM training_rows GROUP BY 1, 2")

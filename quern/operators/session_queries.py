@@ -53,12 +53,13 @@ def _argument(name: str) -> Column:
 
 
 def _mark(c: Column) -> list[Column]:
-    """Count, length and an order-free fingerprint of texts."""
-    return [F.count(c).alias("n"), F.coalesce(F.sum(F.length(c)), F.lit(0)).cast("bigint").alias("chars"), F.min(F.sha2(c.cast("binary"), 256)).alias("least_hash"), F.max(F.sha2(c.cast("binary"), 256)).alias("most_hash")]
+    """Count, length and sum of hashes of texts: any changed text shows."""
+    start = F.conv(F.substring(F.sha2(c.cast("binary"), 256), 1, 8), 16, 10).cast("bigint")
+    return [F.count(c).alias("n"), F.coalesce(F.sum(F.length(c)), F.lit(0)).cast("bigint").alias("chars"), F.coalesce(F.sum(start), F.lit(0)).cast("bigint").alias("hash_sum")]
 
 
 def _mark_sql(c: str) -> str:
-    return f"count({c}) AS n, CAST(coalesce(sum(length({c})), 0) AS BIGINT) AS chars, min(sha256({c})) AS least_hash, max(sha256({c})) AS most_hash"
+    return f"count({c}) AS n, CAST(coalesce(sum(length({c})), 0) AS BIGINT) AS chars, CAST(coalesce(sum(CAST('0x' || substr(sha256({c}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS hash_sum"
 
 
 # --- reading
@@ -331,10 +332,11 @@ def working_directory(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(BASE + """, t AS (SELECT m.*, max(CASE WHEN role = 'assistant' THEN message_index END) OVER (PARTITION BY k) AS last FROM m)
-SELECT c.source_scaffold, c.tool, count(*) AS n, count(*) FILTER (t.last > c.message_index) AS nonterminal FROM c JOIN t ON c.k = t.k AND c.message_index = t.message_index WHERE c.tool IN ('finish', 'submit') GROUP BY 1, 2""")
+SELECT c.source_scaffold, c.tool, count(*) AS n, count(*) FILTER (t.last > c.message_index) AS nonterminal FROM c JOIN t ON c.k = t.k AND c.message_index = t.message_index GROUP BY 1, 2""")
 def later_assistants(spark: SparkSession, d: str) -> DataFrame:
+    """Calls by tool, and those that an assistant message comes after."""
     m = _messages(spark, d).withColumn("last", F.max(F.when(F.col("role") == "assistant", F.col("message_index"))).over(Window.partitionBy("row_key")))
-    ends = S.calls(m).where(F.col("tool").isin("finish", "submit")).join(m.select("row_key", "message_index", "last"), ["row_key", "message_index"])
+    ends = S.calls(m).join(m.select("row_key", "message_index", "last"), ["row_key", "message_index"])
     return ends.groupBy("source_scaffold", "tool").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("last") > F.col("message_index")).alias("nonterminal"))
 
 
