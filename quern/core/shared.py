@@ -34,7 +34,17 @@ def materialize(df: DataFrame, name: str = "t", by: str | None = None) -> DataFr
     path = f"{shared_folder(spark)}/quern-{name}-{uuid.uuid4().hex}"
     to = df.write.option("compression", "zstd")
     (to.partitionBy(by) if by else to).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the table of ``df``, as ``materialize`` gave it; nothing that is
+    still to be run may read it."""
+    spark = df.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.written_to)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quern.core.jsonio import canonical, digest, load_list, loads
 from quern.core.labels import split_name, task_key
-from quern.core.shared import materialize, shared_folder
+from quern.core.shared import discard, materialize, shared_folder
 
 
 def test_json():
@@ -41,6 +41,16 @@ def test_materialize_uses_the_shared_folder(spark):
     assert any(shared_folder(spark).removeprefix("file://") in f.removeprefix("file://") for f in df.inputFiles())
 
 
+def test_discarded_tables_are_gone(spark):
+    import os
+
+    df = materialize(spark.range(5), "t")
+    path = df.written_to.removeprefix("file://")
+    assert os.path.isdir(path)
+    discard(df)
+    assert not os.path.exists(path)
+
+
 def test_row_keys_of_partitioned_tables(spark, tmp_path):
     from quern.sources.sessions import dense_row_index, first_of_each_id, read_sessions
 
