@@ -3,7 +3,7 @@
 Each round replaces every edge by edges to the least neighbour, with a
 groupBy-min and a join; the edge list never grows and the rounds are
 logarithmic in the longest chain.  Edges stay distributed and each round is
-written to the shared folder.
+written to the shared folder, where only the last one stays.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.core.shared import materialize
+from quern.core.shared import discard, materialize
 
 #: Rounds after which an unfinished run is an error, far beyond the logarithm of any table.
 MAX_ROUNDS = 60
@@ -43,8 +43,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         if not state[0]:
             break
-        edges = materialize(_star(_star(edges, True), False), "edges")
+        last, edges = edges, materialize(_star(_star(edges, True), False), "edges")
         before, state = state, _state(edges)
+        discard(last)  # nothing reads an earlier round
         if state == before:
             break
     else:
