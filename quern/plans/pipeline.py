@@ -7,19 +7,23 @@ complete.  Results are keyed by request id, so a repeated step changes nothing.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import random
+import threading
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from quern.core.jsonio import canonical
-from quern.core.shared import materialize
+from quern.core.shared import discard, materialize
 from quern.operators.journal import conflicts, sampled_priority
 from quern.plans import sessions as P
 from quern.plans.audit import audit_final, audit_stage
@@ -27,14 +31,19 @@ from quern.plans.clients import client_messages, envelope, error_label, mechanic
 from quern.plans.codes import CONTEXT_PRODUCER, PROFILES, REVIEW_PRODUCER, TARGETS, TRAINING_VERSION, VERSION, Refusal
 from quern.plans.requests import promotable
 from quern.plans.results import evaluate
-from quern.sources.files import content_hashes, exists, read_document, write_document, write_json_lines, write_parquet
+from quern.sources.files import exists, read_document, remove, write_document, write_json_lines, write_parquet
 from quern.sources.sessions import dense_row_index, first_of_each_id, read_sessions
 
 
 def fingerprint(spark: SparkSession, path: str) -> str:
-    """One hash over the data files of a table, whatever their order."""
-    hashes = content_hashes(spark, path).where(F.col("name").rlike("^[^_.]")).select("sha256")
-    return hashes.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("sha256")), ","), 256)).first()[0]
+    """One hash over the rows of a table, whatever their order and files: the
+    sums of parts of each row's SHA-256, which any changed row changes."""
+    rows = spark.read.parquet(path)
+    plain = [F.array_sort(F.map_entries(f.name)).alias(f.name) if isinstance(f.dataType, MapType) else F.col(f"`{f.name}`") for f in rows.schema]
+    own = F.sha2(F.to_json(F.struct(*plain), {"ignoreNullFields": "false"}), 256)
+    parts = [F.sum(F.conv(F.substring("own", k, 15), 16, 10).cast("decimal(38,0)")) for k in (1, 16, 31, 46)]
+    sums = rows.select(own.alias("own")).agg(F.count(F.lit(1)), *parts).first()
+    return hashlib.sha256(",".join(map(str, sums)).encode()).hexdigest()
 
 
 def _counts(df: DataFrame, *keys: str) -> dict[str, int]:
@@ -131,7 +140,7 @@ def output_budget(request: dict) -> int:
 
 
 def ask(request: dict, client: Client, attempts: int = 6, sleep: Callable[[float], Any] = time.sleep) -> tuple[dict | None, list[dict], str]:
-    """(result, journal of attempts, state) of one request.  A refused answer is
+    """(result, journal of attempts, state) of one request; errors are redacted.  A refused answer is
     followed by one corrective message; other failures by a growing pause.  The
     state is done, failed, or pending where the service refuses all requests."""
     if (result := mechanical_result(request)) is not None:
@@ -168,39 +177,89 @@ def ask(request: dict, client: Client, attempts: int = 6, sleep: Callable[[float
 
 
 ASKED_FIELDS = "request_id string, state string, result string, producer string, attempts bigint, journal string"
+#: Requests asked at once by a task, and those whose results are committed together.
+CONCURRENT, COMMITTED = 32, 1000
 
 
-def ask_all(requests: DataFrame, make_client: Callable[[], Client], attempts: int = 6) -> DataFrame:
-    """Every request (request_id, body) with its state and result.  A client is
-    made on each worker; keys stay in its environment and out of tables.  Turn
-    speculative execution off, or requests may be sent twice."""
+def ask_all(requests: DataFrame, make_client: Callable[[], Client], attempts: int = 6, concurrent: int = CONCURRENT) -> DataFrame:
+    """Every request (request_id, body) with its state and result, as they come.
+    A client is made on each worker and asked by up to ``concurrent`` threads;
+    keys stay in its environment and out of tables.  Once the service refuses
+    all requests a task sends no more: the rest is pending.  Turn speculative
+    execution off, or requests may be sent twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client = make_client()
+        client, stop = make_client(), threading.Event()
 
-        def rows_of(r: dict) -> Iterator[dict]:
-            result, journal, state = ask(json.loads(r["body"]), client, attempts)
-            yield {"request_id": r["request_id"], "state": state, "result": canonical(result) if result else None, "producer": result["producer"] if result else None, "attempts": len(journal), "journal": canonical(journal)}
+        def one(r: dict) -> dict:
+            result, journal, state = (None, [], "pending") if stop.is_set() else ask(json.loads(r["body"]), client, attempts)
+            if state == "pending":
+                stop.set()
+            return {"request_id": r["request_id"], "state": state, "result": canonical(result) if result else None, "producer": result["producer"] if result else None, "attempts": len(journal), "journal": canonical(journal)}
 
-        yield from P._pass(ASKED_FIELDS, rows_of)(batches)
+        with ThreadPoolExecutor(concurrent) as pool:
+            for batch in batches:
+                found = {pool.submit(one, r) for r in batch.to_pylist()}
+                yield from P._pass(ASKED_FIELDS, lambda row: [row])(pa.RecordBatch.from_pylist([f.result()], P._arrow(ASKED_FIELDS)) for f in as_completed(found))
 
     return requests.select("request_id", "body").mapInArrow(run, ASKED_FIELDS)
 
 
-def run_queue(stage: DataFrame, journal: str, make_client: Callable[[], Client], limit: int = 0, attempts: int = 6) -> DataFrame:
+def _exclusive(spark: SparkSession, journal: str, settings: dict) -> str:
+    """Takes the journal for this run, refused while another has it or if it was
+    begun with other settings; the path to give it back."""
+    lock = f"{journal}.lock"
+    try:
+        write_document(spark, lock, {"taken": time.time()})
+    except Exception as e:
+        raise Refusal("JOURNAL_IN_USE:" + lock) from e
+    known = f"{journal}.settings.json"
+    if not exists(spark, known):
+        write_document(spark, known, settings)
+    elif (before := read_document(spark, known)) != settings:
+        remove(spark, lock)
+        raise Refusal("RESUME_SETTINGS_CHANGED:" + ",".join(sorted(k for k in before.keys() | settings.keys() if before.get(k) != settings.get(k))))
+    return lock
+
+
+def run_queue(stage: DataFrame, journal: str, make_client: Callable[[], Client], limit: int = 0, attempts: int = 6, concurrent: int = CONCURRENT, committed: int = COMMITTED, retry_failed: bool = True, settings: dict | None = None) -> DataFrame:
     """Asks for what the journal (a Parquet directory) has no finished result
-    for, by priority, appends to it and gives all finished results.  Stopping
-    and starting again repeats no finished request."""
+    for, by priority, and gives all finished results.  About ``committed``
+    requests at a time are appended to it, so that a lost run loses no more, and
+    no further ones are sent once the service refuses all.  Stopping and starting
+    again repeats no finished request; failed ones are asked again unless told
+    otherwise.  ``settings`` (model, options) must be those the journal was begun
+    with."""
     spark = stage.sparkSession
-    queue = stage.where("kind = 'request'").select("request_id", "body", "route", "eligible", "target", "id", "seq").dropDuplicates(["request_id"])
-    if exists(spark, journal):
-        queue = queue.join(spark.read.parquet(journal).where("state = 'done'").select("request_id"), "request_id", "left_anti")
-    if limit:
-        queue = sampled_priority(queue.withColumn("seq", F.struct("id", "seq")), ["target", "route", "eligible"], F.col("eligible")).orderBy(F.desc("new_priority"), "seq").limit(limit)
-    ask_all(queue, make_client, attempts).write.mode("append").parquet(journal)
+    lock = _exclusive(spark, journal, {"attempts": attempts, **(settings or {})})
+    try:
+        queue = stage.where("kind = 'request'").select("request_id", "body", "route", "eligible", "target", "id", "seq").dropDuplicates(["request_id"])
+        if exists(spark, journal):
+            over = ("done",) if retry_failed else ("done", "failed")
+            queue = queue.join(spark.read.parquet(journal).where(F.col("state").isin(*over)).select("request_id"), "request_id", "left_anti")
+        if limit:
+            queue = sampled_priority(queue.withColumn("seq", F.struct("id", "seq")), ["target", "route", "eligible"], F.col("eligible")).orderBy(F.desc("new_priority"), "seq").limit(limit)
+        queue = materialize(queue.select("request_id", "body"), "queue")
+        turns = max(1, -(-queue.count() // committed))
+        for turn in range(turns):
+            asked = materialize(ask_all(queue.where(F.pmod(F.xxhash64("request_id"), F.lit(turns)) == turn), make_client, attempts, concurrent), "asked")
+            asked.write.mode("append").parquet(journal)
+            refused = asked.where("state = 'pending'").limit(1).count()
+            discard(asked)
+            if refused:
+                break
+        discard(queue)
+    finally:
+        remove(spark, lock)
     return spark.read.parquet(journal).where("state = 'done'").select("request_id", "result", "producer")
 
 
+def in_order(results: DataFrame, stage: DataFrame) -> DataFrame:
+    """Results in the order their requests were staged: id, target, seq."""
+    place = stage.where("kind = 'request'").select("request_id", "id", "target", "seq").dropDuplicates(["request_id"])
+    return results.dropDuplicates(["request_id"]).join(place, "request_id").orderBy("id", "target", "seq")
+
+
 def unite(*results: DataFrame) -> DataFrame:
     """Results of several files; one request with different ones is an error."""
     both = results[0].select("request_id", "result")

@@ -50,6 +50,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    files, where, _ = _file(spark, path)
+    files.delete(where, False)
+
+
 def content_hashes(spark: SparkSession, path: str) -> DataFrame:
     """name and SHA-256 of every data file below a directory, hashed where it is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)

@@ -155,3 +155,98 @@ def test_same_at_any_partitioning(spark, done):
     one = P.compile_sessions(source.repartition(1)).orderBy("id", "target", "message_index").drop("source_row_index").collect()
     many = P.compile_sessions(source.repartition(7)).orderBy("id", "target", "message_index").drop("source_row_index").collect()
     assert one == many
+
+
+def test_queue_stops_commits_and_resumes(spark, done, tmp_path):
+    base, journal = done[0], str(tmp_path / "journal")
+    stage = spark.read.parquet(f"{base}/stage/stage")
+    total = stage.where("kind = 'request'").select("request_id").distinct().count()
+    assert total >= 2
+    refused = L.run_queue(stage, journal, lambda: (lambda m, b: L.Answer(401)), committed=1, settings={"model": "m"})
+    assert refused.count() == 0 and {r["state"] for r in spark.read.parquet(journal).select("state").collect()} == {"pending"}
+    with pytest.raises(Refusal, match="RESUME_SETTINGS_CHANGED:model"):
+        L.run_queue(stage, journal, client, settings={"model": "other"})
+    assert L.run_queue(stage, journal, client, committed=1, settings={"model": "m"}).count() == total
+    ordered = L.in_order(spark.read.parquet(journal).where("state = 'done'"), stage).select("id", "target", "seq").collect()
+    assert ordered == sorted(ordered) and len(ordered) == total
+    from quern.sources.files import exists, write_document
+
+    assert not exists(spark, journal + ".lock")
+    write_document(spark, journal + ".lock", {})
+    with pytest.raises(Refusal, match="JOURNAL_IN_USE"):
+        L.run_queue(stage, journal, client, settings={"model": "m"})
+
+
+def test_requests_of_a_task_are_asked_at_once(spark, done):
+    stage = spark.read.parquet(f"{done[0]}/stage/stage").where("kind = 'request'").select("request_id", "body").limit(1)
+    many = stage.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(16)))).select(F.concat("request_id", "n").alias("request_id"), "body").coalesce(1)
+
+    def slow():
+        import time
+
+        def answer(messages, budget):
+            time.sleep(0.5)
+            return L.Answer(400)
+
+        return answer
+
+    import time
+
+    began = time.time()
+    assert {r["state"] for r in L.ask_all(many, slow).collect()} == {"failed"} and time.time() - began < 6
+    stopped = L.ask_all(many, lambda: (lambda m, b: L.Answer(401)), concurrent=1).collect()
+    assert {r["state"] for r in stopped} == {"pending"} and sum(r["attempts"] for r in stopped) == 1  # no more were sent
+
+
+def test_errors_hold_no_keys():
+    from quern.plans.clients import error_label, redacted
+
+    assert "abc123" not in error_label(OSError("401 for Authorization: Bearer abc123")) and "sk-12345678" not in redacted("key sk-12345678 given")
+    assert redacted("api_key='zzz' and text") == "api_key='[REDACTED]' and text"
+
+
+def test_http_client(monkeypatch):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from quern.plans.http_client import http_client
+
+    seen = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((self.headers["Authorization"], json.loads(self.rfile.read(int(self.headers["Content-Length"])))))
+            self.send_response(200 if len(seen) == 1 else 403)
+            self.end_headers()
+            self.wfile.write(json.dumps({"choices": [{"message": {"content": "hi"}, "finish_reason": "length"}], "usage": {"total_tokens": 1}}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setenv("TEST_KEY", "k")
+    ask = http_client(f"http://127.0.0.1:{server.server_port}", "m", "TEST_KEY", temperature=0)()
+    assert ask([{"role": "user", "content": "x"}], 7) == L.Answer(200, "hi", "length", {"total_tokens": 1}) and ask([], 1).status == 403
+    assert seen[0] == ("Bearer k", {"model": "m", "messages": [{"role": "user", "content": "x"}], "max_tokens": 7, "temperature": 0})
+    server.shutdown()
+
+
+def test_command_lines(spark, tmp_path, capsys):
+    from quern.__main__ import main
+
+    at = {n: str(tmp_path / n) for n in ("source", "compiled", "stage", "prompts", "journal", "final", "audit", "reused")}
+
+    def run(*words):
+        code = main([*words])
+        return code, json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    assert run("demo", at["source"]) == (0, {"sessions": 6})
+    assert run("compile", at["source"], at["compiled"])[1]["refused"] == {}
+    assert run("prepare", at["source"], at["compiled"], at["stage"])[1]["phase"] == "prepare"
+    assert run("prompts", at["stage"], at["prompts"], "--limit", "2")[0] == 0
+    L.run_queue(spark.read.parquet(at["stage"] + "/stage"), at["journal"], client)
+    assert run("reuse", at["stage"], at["stage"], at["journal"], at["reused"])[0] == 0
+    done = run("finalize", at["stage"], at["final"], "--results", at["journal"])[1]
+    assert sum(n for k, n in done["rows"].items() if k.endswith("/exported")) > 0
+    assert run("audit", at["source"], at["stage"], at["audit"], "--final", at["final"]) == (0, {})
