@@ -32,6 +32,12 @@ def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": f"""{LABELLED}
 SELECT DISTINCT id FROM l WHERE task IN (SELECT task FROM l WHERE task IS NOT NULL GROUP BY task HAVING count(DISTINCT split) > 1)""",
+        "p1_tasks": f"""{LABELLED}
+SELECT task, count(DISTINCT id) AS records, CAST(1 AS BIGINT) AS splits FROM l WHERE task IS NOT NULL GROUP BY 1""",
+        "p5_sizes": f"""{BASE}
+SELECT DISTINCT id, n AS chars, true AS within, true AS overlaps FROM (SELECT k, id, CAST(sum(length(text)) AS BIGINT) AS n FROM m GROUP BY 1, 2) WHERE n > {LIMIT}""",
+        "p6_whole": "SELECT DISTINCT doc_id, true AS within, true AS whole FROM documents WHERE regexp_matches(text, '[^\\s]')",
+        "p7_uses": "SELECT DISTINCT doc_id, true AS within, true AS apart FROM documents d JOIN mix_targets t ON lower(trim(d.source)) = lower(trim(t.source)) WHERE trim(text) <> ''",
         "p5_found": f"""{BASE}
 SELECT DISTINCT id, CAST(-1 AS BIGINT) AS message_index FROM (SELECT k, id, sum(length(text)) AS n FROM m GROUP BY 1, 2) WHERE n > {LIMIT}
 UNION SELECT DISTINCT id, CAST(message_index AS BIGINT) FROM m WHERE length(text) > {LIMIT}""",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quern.core.labels import source_name
 from quern.llm import abuse, mixing, neardup, overlap, packing, pieces, splits
 from quern.llm.oracles import oracle_sql  # noqa: F401
 
@@ -79,7 +81,42 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
     return abuse.rate_report(_table(spark, d, "documents", "doc_id", "source", "text"), _table(spark, d, "review_labels"))
 
 
-_QUERIES = (p1_found, p1_splits, p1_report, p2_found, p2_report, p3_found, p3_groups, p5_found, p5_pieces, p6_placements, p6_containers, p6_report, p7_drawn, p7_report, p8_found, p8_report)
+def p1_tasks(spark: SparkSession, d: str) -> DataFrame:
+    """Every task with its records and the splits they are in: always one."""
+    done = p1_splits(spark, d).where("not startswith(component, 'id:')")
+    return done.groupBy(F.col("component").alias("task")).agg(F.count(F.lit(1)).alias("records"), F.count_distinct("split").alias("splits"))
+
+
+def p5_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """Every cut session: the characters its pieces give without what they
+    repeat, whether all are within the limit, and whether all but the first
+    repeat exactly the overlap."""
+    parts = pieces.cut_sessions(_table(spark, d, "trajectories", "id", "messages_json", "message_loss_mask"), with_text=False)
+    size = parts.groupBy("id", "variant", "piece").agg(F.sum(F.col("end") - F.col("start")).alias("chars"), F.sum("repeated").alias("repeated"))
+    whole = size.groupBy("id", "variant").agg(F.sum(F.col("chars") - F.col("repeated")).alias("chars"), (F.max("chars") <= pieces.LIMIT).alias("within"), F.bool_and(F.col("repeated") == F.when(F.col("piece") > 0, pieces.OVERLAP).otherwise(0)).alias("overlaps"))
+    return whole.select("id", "chars", "within", "overlaps").distinct()
+
+
+def p6_whole(spark: SparkSession, d: str) -> DataFrame:
+    """Every document in containers: whether its pieces follow each other without
+    gaps, all full but the last, in containers within their capacity."""
+    placed = packing.pack_documents(_table(spark, d, "documents", "doc_id", "text"))
+    full = placed.groupBy("container").agg((F.sum("tokens") <= packing.CAPACITY).alias("within"))
+    per = placed.join(full, "container").groupBy("doc_id").agg(F.bool_and("within").alias("within"), (F.sum("tokens") == F.max(F.col("start") + F.col("tokens"))).alias("gapless"), F.bool_and((F.col("tokens") == packing.CAPACITY) | (F.col("tokens") > 0)).alias("filled"), F.count(F.lit(1)).alias("n"), F.max("piece").alias("last"))
+    return per.select("doc_id", "within", (F.col("gapless") & F.col("filled") & (F.col("n") == F.col("last") + 1)).alias("whole"))
+
+
+def p7_uses(spark: SparkSession, d: str) -> DataFrame:
+    """Every document of a target's source: whether it is drawn no more often
+    than its source may be repeated, each time in another pass."""
+    documents, targets = _table(spark, d, "documents", "doc_id", "source", "text"), _table(spark, d, "mix_targets")
+    drawn = mixing.drawn_documents(documents, targets).groupBy("doc_id").agg(F.count(F.lit(1)).alias("uses"), F.count_distinct("pass").alias("passes"))
+    most = targets.groupBy(source_name(F.col("source")).alias("source")).agg(F.max("max_repeats").alias("most"))
+    rows = documents.where(F.trim("text") != "").select("doc_id", source_name(F.col("source")).alias("source")).distinct().join(most, "source")
+    return rows.join(drawn, "doc_id", "left").select("doc_id", (F.coalesce("uses", F.lit(0)) <= F.col("most")).alias("within"), (F.coalesce("uses", F.lit(0)) == F.coalesce("passes", F.lit(0))).alias("apart"))
+
+
+_QUERIES = (p1_found, p1_splits, p1_report, p1_tasks, p2_found, p2_report, p3_found, p3_groups, p5_found, p5_pieces, p5_sizes, p6_placements, p6_containers, p6_report, p6_whole, p7_drawn, p7_report, p7_uses, p8_found, p8_report)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
