@@ -30,12 +30,14 @@ def prompts(requests: DataFrame) -> DataFrame:
 
 def donors(requests: DataFrame, journal: DataFrame) -> DataFrame:
     """The donor of each prompt: a context given by a client in one attempt; of
-    several, the least request id.  A journal with unfinished requests is an error."""
+    several, that of the request staged first (id, target, seq).  A journal with
+    unfinished requests is an error."""
     if journal.where("state <> 'done'").limit(1).count():
         raise Refusal("REUSE_DONOR_INCOMPLETE")
-    fit = journal.where(f"producer = '{CONTEXT_PRODUCER}' and attempts = 1")
-    both = prompts(requests).where(~F.col("promotable")).join(fit.select("request_id", "result"), "request_id")
-    return both.groupBy("prompt_sha256").agg(F.min("request_id").alias("donor_id"), F.min_by("result", "request_id").alias("donor_result"))
+    fit = journal.where(f"producer = '{CONTEXT_PRODUCER}' and attempts = 1").select("request_id", "result")
+    place = requests.groupBy("request_id").agg(F.min(F.struct("id", "target", "seq", "request_id")).alias("place"))
+    both = prompts(requests).where(~F.col("promotable")).join(fit, "request_id").join(place, "request_id")
+    return both.groupBy("prompt_sha256").agg(F.min("place")["request_id"].alias("donor_id"), F.min_by("result", "place").alias("donor_result"))
 
 
 _REUSED_FIELDS = "request_id string, result string, producer string, donor_id string"

@@ -133,6 +133,12 @@ def test_reuse(spark, done):
     assert reused.count() == stage.where("not eligible").count()
     if (r := reused.first()) is not None:
         assert json.loads(r["result"])["reuse"]["donor_request_id"] == r["donor_id"]
+    twice = stage.where("not eligible").limit(1)
+    later = twice.withColumns({"seq": F.lit(99), "request_id": F.lit("0")})
+    told = journal.where("attempts = 1").limit(1).withColumns({"producer": F.lit("llm_segment_context_v2"), "attempts": F.lit(1).cast("bigint")})
+    if twice.count():
+        both = told.withColumn("request_id", F.lit("0")).unionByName(told.withColumn("request_id", F.lit(twice.first()["request_id"])))
+        assert donors(twice.unionByName(later), both).first()["donor_id"] == twice.first()["request_id"]
     with pytest.raises(Refusal, match="INCOMPLETE"):
         donors(stage, journal.withColumn("state", F.lit("failed")))
 
