@@ -8,14 +8,19 @@ have: the same paths and texts as calls of tools with other contracts.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.core.jsonio import load_list
+from quern.core.shared import spread
 from quern.operators.session_sql import BASE, DISPATCH, WORD
-from quern.plans.codes import CONTENT_MARK, PER_ACTION_SHELL, READ_ONLY_KINDS, SCRIPT_MARK, SCRIPT_NAME, TESTBED_MARK
-from quern.plans.sessions import compile_sessions, stage_sessions
+from quern.plans.codes import CONTENT_MARK, PER_ACTION_SHELL, PROFILES, READ_ONLY_KINDS, SCRIPT_MARK, SCRIPT_NAME, TESTBED_MARK, Refusal
+from quern.plans.dialogue import check_dialogue
+from quern.plans.requests import resolves
+from quern.plans.results import evaluate
+from quern.plans.sessions import _pass, compile_sessions, export_ready, stage_sessions
 from quern.sources import sessions as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +286,80 @@ SELECT id, target, CASE WHEN rewrite_regions > 0 THEN 'pending_rewrites' WHEN su
 _add("staged_reasons", staged_reasons, STAGED + "SELECT target, what AS route, reason, count(*) AS requests FROM (SELECT target, what, unnest(string_split(reasons, ',')) AS reason FROM st WHERE reasons <> '') GROUP BY 1, 2, 3", staged_reasons.__doc__)
 
 
+# --- protocol, assembly and judgement
+
+
+def _faults_of(record: dict) -> Iterator[dict]:
+    messages, mask = load_list(record["messages_json"]), record["message_loss_mask"] or []
+    if not messages or not all(isinstance(m, dict) and isinstance(m.get("role"), str) for m in messages):
+        return
+    try:
+        code = "sound" if check_dialogue(messages, mask, PROFILES["sweagent"]["tools"], "sweagent") else ""
+    except Refusal as e:
+        code = str(e)
+    yield {"id": record["id"], "fault": code}
+
+
+def dialogue_faults(spark: SparkSession, d: str) -> DataFrame:
+    """The first fault of each recorded dialogue, read as one of a target."""
+    fields = "id string, fault string"
+    rows = S.read_sessions(spark, f"{d}/trajectories.parquet").select("id", "messages_json", "message_loss_mask")
+    return spread(rows).mapInArrow(_pass(fields, _faults_of), fields)
+
+
+_DIALOGUE = """, whole AS (SELECT s.k, s.id, json_array_length(mj) AS n, coalesce(len(message_loss_mask), 0) AS n_mask FROM s WHERE json_array_length(mj) > 0 AND NOT EXISTS (SELECT 1 FROM m WHERE m.k = s.k AND (json_type(message) <> 'OBJECT' OR role IS NULL))),
+dm AS (SELECT c0.*, CAST(json_array_length(tc) AS INT) AS n_calls, tc->0->>'$.id' AS own, tc->0->>'$.function.name' AS named, json_type(tc->0->'$.function.arguments') AS given, lag(CASE WHEN json_array_length(tc) > 0 THEN tc->0->>'$.id' END) OVER (PARTITION BY k ORDER BY message_index) AS opened FROM c0 JOIN whole USING (k, id)),
+du AS (SELECT *, CASE WHEN n_calls = 1 THEN count(*) FILTER (n_calls > 0) OVER (PARTITION BY k, own ORDER BY message_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) ELSE 0 END AS earlier FROM dm),
+df AS (SELECT k, message_index, CASE WHEN mask IS NULL OR mask NOT IN (0, 1) OR (mask = 1 AND role <> 'assistant') THEN 'INVALID_SUPERVISION_ROLE' WHEN coalesce(json_type(content), 'NULL') <> 'VARCHAR' THEN 'TARGET_CONTENT_NOT_TEXT' WHEN opened IS NOT NULL AND (role <> 'tool' OR (message->>'$.tool_call_id') IS DISTINCT FROM opened) THEN 'UNPAIRED_TARGET_CALL'
+    WHEN opened IS NULL AND role = 'tool' THEN 'ORPHAN_TARGET_RESULT' WHEN n_calls > 0 THEN CASE WHEN role <> 'assistant' OR n_calls <> 1 THEN 'TARGET_REQUIRES_SINGLE_CALL_MESSAGE' WHEN coalesce(own, '') = '' OR earlier > 0 OR coalesce(tc->0->>'$.type', '') <> 'function' THEN 'INVALID_TARGET_CALL_ID' WHEN coalesce(named, '') NOT IN ('bash', 'str_replace_editor', 'submit') OR given <> 'VARCHAR' THEN 'INVALID_TARGET_TOOL' END
+    WHEN role = 'assistant' AND mask = 1 THEN 'SUPERVISED_PLAIN_TEXT_TERMINATION' END AS fault FROM du)
+SELECT w.id, CASE WHEN n <> n_mask THEN 'MASK_LENGTH_MISMATCH' ELSE coalesce((SELECT arg_min(fault, message_index) FROM df WHERE df.k = w.k AND fault IS NOT NULL), CASE WHEN (SELECT arg_max(n_calls, message_index) FROM dm WHERE dm.k = w.k) > 0 THEN 'MISSING_TARGET_RESULT' ELSE 'sound' END) END AS fault FROM whole w"""
+_add("dialogue_faults", dialogue_faults, BASE + _DIALOGUE, dialogue_faults.__doc__)
+
+
+def assembled_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Training rows of sessions that need no results: messages, weights, how they end."""
+    rows = S.read_sessions(spark, f"{d}/trajectories.parquet").withColumnRenamed("file_row_index", "source_row_index")
+    weight = F.aggregate("message_loss_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
+    sources = F.flatten(F.from_json("bridge_provenance_json", "array<struct<source_indices: array<bigint>>>").getField("source_indices"))
+    return export_ready(rows).select("id", "target_harness", "source_split", "split", F.size("message_loss_mask").cast("bigint").alias("messages"), weight.alias("weight"), F.col("has_target_finish").alias("ends"), "rewrite_count", F.size(sources).cast("bigint").alias("sources"))
+
+
+_add("assembled_rows", assembled_rows, STAGED + f""", per AS (SELECT st.k, st.id, target, count(*) FILTER (reasons <> '') AS rewrites, CAST(1 + sum(CASE WHEN what = 'source_observation_projection' THEN 2 * calls ELSE 1 END) AS BIGINT) AS messages, CAST(sum(CASE WHEN what = 'source_final_text_to_target_finish' THEN weight ELSE weight * {_TURNS} END) AS BIGINT) AS weight,
+  count(*) FILTER (what = 'source_final_text_to_target_finish') > 0 AS ends, CAST(sum(size) AS BIGINT) AS sources FROM st GROUP BY 1, 2, 3)
+SELECT per.id, target AS target_harness, s.split AS source_split, 'train' AS split, messages, weight, ends, CAST(0 AS BIGINT) AS rewrite_count, sources FROM per JOIN s USING (k) WHERE rewrites = 0 AND weight > 0""", assembled_rows.__doc__)
+
+#: What is wrong with the result made for a request, by its block's number modulo their count, and the code it is refused with.
+_WRONG = ({}, {"context": "  "}, {"uncertainties": ["<tool_call>"]}, {"evidence": [{"message_index": -1, "quote": "x"}]}, {"evidence": []}, {"input_sha256": "0"}, {"quote": "\x00 never said"})
+_REFUSED = ("context", "EMPTY_REWRITE", "REWRITE_CONTAINS_PROTOCOL_TAG", "REWRITE_EVIDENCE_OUTSIDE_SEGMENT", "SCHEMA:{}evidence:minItems", "REWRITE_INPUT_MISMATCH", "REWRITE_EVIDENCE_NOT_VERBATIM")
+
+
+def _judged(record: dict) -> Iterator[dict]:
+    request = json.loads(record["body"])
+    first = request["payload"]["source_messages"][0]
+    wrong = dict(_WRONG[first["message_index"] % len(_WRONG)])
+    quote = {"message_index": first["message_index"], "quote": wrong.pop("quote", first["evidence_text"][:20])}
+    over = {k: wrong.pop(k) for k in ("input_sha256",) if k in wrong}
+    context = {"context": "It happened.", "evidence": [quote], "uncertainties": []} | wrong
+    body = {"resolution": {"decision": "context", "promotions": [], "fallback": context}} if resolves(request) else {"rewrite": context}
+    try:
+        code = evaluate(request, {"request_id": request["request_id"], "input_sha256": request["input_sha256"], "producer": "test"} | body | over)[2]["decision"]
+    except Refusal as e:
+        code = str(e)
+    yield {"id": record["id"], "target": record["target"], "block": first["message_index"], "code": code}
+
+
+def judged_results(spark: SparkSession, d: str) -> DataFrame:
+    """How results are judged that are sound or have one fault each."""
+    fields = "id string, target string, block int, code string"
+    rows = S.read_sessions(spark, f"{d}/trajectories.parquet").withColumnRenamed("file_row_index", "source_row_index")
+    return stage_sessions(rows, kinds=("request",)).select("id", "target", "body").mapInArrow(_pass(fields, _judged), fields)
+
+
+_CODES = " ".join(f"WHEN {n} THEN " + (f"'{code}'" if "{}" not in code else f"CASE what WHEN 'candidate_resolution' THEN '{code.format('$.fallback.')}' ELSE '{code.format('$.')}' END") for n, code in enumerate(_REFUSED))
+_add("judged_results", judged_results, STAGED + f"SELECT id, target, block, CASE block % {len(_REFUSED)} {_CODES} END AS code FROM st WHERE reasons <> ''", judged_results.__doc__)
+
+
 # --- calls of other tools, made of those there are
 
 #: The directory such calls are in, and the tools, by name: description and properties.
