@@ -395,11 +395,14 @@ def _variant(shape: str = "variant") -> Column:
     return F.substring(F.sha2(shape, 256), 1, 16)
 
 
+def _typed(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.withColumn("data", F.from_json("data", COLUMNS[kind])).select("id", "target_harness", "parent_pos", "pos", "variant", "data.*").distinct()
+
+
 def table(rows: DataFrame, kind: str) -> DataFrame:
     """The flat table of one kind: id, target_harness, parent_pos, pos, variant
     (16 hex digits of the shape's hash) and the kind's typed columns."""
-    out = nodes(rows, (kind,)).withColumn("data", F.from_json("data", COLUMNS[kind])).withColumn("variant", _variant())
-    return out.select("id", "target_harness", "parent_pos", "pos", "variant", "data.*").distinct()
+    return _typed(nodes(rows, (kind,)).withColumn("variant", _variant()), kind)
 
 
 def variants(rows: DataFrame) -> DataFrame:
@@ -415,6 +418,13 @@ def routed(rows: DataFrame) -> DataFrame:
     return materialize(out.sortWithinPartitions("kind", "variant"), "subtypes", "kind")
 
 
+def kinds_of(tables: DataFrame) -> dict[str, DataFrame]:
+    """The flat table of every kind, as ``table`` gives it, from one pass over
+    the sessions: ``tables`` is what ``routed`` wrote, and each kind reads only
+    its own folder."""
+    return {kind: _typed(tables.where(F.col("kind") == kind), kind) for kind in COLUMNS}
+
+
 def subtypes(tables: DataFrame) -> dict[tuple[str, str], DataFrame]:
     """The typed subtype table of every (kind, variant) in ``tables``, as made
     by ``routed``: id, target_harness, parent_pos, pos and the state's columns.

@@ -82,3 +82,12 @@ def test_items_hold_no_answers(spark):
     messages = [{"role": "assistant", "tool_calls": [{"id": "a"}]}, {"role": "tool", "tool_call_id": "a", "more": [1]}]
     df = spark.createDataFrame([("i", json.dumps(messages))], "id string, messages_json string")
     assert [r["path"] for r in V.table(df, "item").collect()] == ["more"]
+
+
+def test_all_kinds_come_from_one_pass(spark):
+    rows = sessions(spark)
+    all_ = V.kinds_of(V.routed(rows))
+    assert set(all_) == set(V.COLUMNS)
+    for kind in ("message", "call", "param", "block", "item"):
+        assert sorted(all_[kind].collect(), key=str) == sorted(V.table(rows, kind).collect(), key=str)
+    assert all_["message"].count() == 2
