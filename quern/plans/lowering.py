@@ -50,6 +50,10 @@ class Arguments:
         return self.values[name]
 
 
+# Fixed values in the readers below: argument names, parameter and contract names,
+# texts looked for in descriptions, and codes, as the sources and users' data have them.
+
+
 def _operation(kind: str, parameters: dict, /, **contracts: Any) -> dict:
     return {"kind": kind, "parameters": parameters, "contracts": contracts}
 
