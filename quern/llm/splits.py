@@ -7,10 +7,11 @@ records moved away from their declared split and the deviation from the quotas;
 the flow is rounded to whole components and members are taken by hash rank.
 
 A null or unusable key makes a component of the record's id; an id delivered
-under several keys joins their tasks.  Only bundles, at most ``MAX_BUNDLES``,
-reach the driver: were there more, sizes and label profiles of a bundle would
-be rounded to fewer steps an octave, at last to one, where there are no more
-than 512; its total stays exact, and components are never cut.  An empty table gives an empty result; shares are scaled to sum 1.
+under several keys joins their tasks.  Only bundles reach the driver, all of
+them with their exact sizes and label profiles at any size of the input: n
+records have about n ** 0.8 bundles at most, were there one of each.  How the
+plan is joined and members are ranked grows with the input, what they give
+does not depend on it.  An empty table gives an empty result; shares are scaled to sum 1.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from quern.core.labels import SPLITS, split_name, task_key
 from quern.core.shared import materialize
 from quern.llm.components import connected_components
 
-#: Most bundles solved for on the driver; components of at least total / HOT_PARTS
+#: Most bundles whose plan is joined by broadcast; that of more is joined by a
+#: shuffle, with the same result.  Components of at least total / HOT_PARTS
 #: records, of which there are at most HOT_PARTS, are joined by broadcast.
 MAX_BUNDLES, HOT_PARTS = 20_000, 10_000
 #: Cost of a record beyond its split's quota, against 1 for a record moved.
@@ -144,7 +146,7 @@ def allocate(bundles: list[tuple], shares: dict[str, float]) -> list[list[int]]:
     total = round(sum(b[0] * b[-1] for b in bundles))
     quota = np.array([quotas(total, shares)[s] for s in names], dtype=float)
     take = [[0] * len(names) for _ in bundles]
-    cost = [np.array([1.0 - min(1.0, b[1 + k] / max(1, b[0])) for k in range(len(names))]) for b in bundles]
+    cost = np.array([[1.0 - min(1.0, b[1 + k] / max(1, b[0])) for k in range(len(names))] for b in bundles])
     left = quota.copy()
 
     def place(i: int) -> None:
@@ -158,7 +160,7 @@ def allocate(bundles: list[tuple], shares: dict[str, float]) -> list[list[int]]:
         supply = np.array([bundles[i][0] * bundles[i][-1] for i in rest], dtype=float)
         room = np.maximum(left, 0)
         room = np.array([quotas(round(supply.sum()), dict(zip(names, room)))[s] for s in names], dtype=float) if room.sum() else room
-        flow = transport(supply, np.array([cost[i] for i in rest]), room)
+        flow = transport(supply, cost[rest], room)
         large = [i for i in rest if bundles[i][0] * ROUND_STEP > bundles[rest[0]][0]]
         for i, f in zip(large, flow):
             for k in range(len(names)):
@@ -180,32 +182,27 @@ def assign_splits(rows: DataFrame, targets: DataFrame, seed: int = 11) -> DataFr
     if len(shares) > MAX_SPLITS:
         raise ValueError(f"more than {MAX_SPLITS} splits")
     records, groups = components(rows)
-    records, groups = materialize(records, "records"), materialize(groups.withColumn("class", F.col("records")), "components")
+    records, groups = materialize(records, "records"), materialize(groups, "components")
     have = [f"in_{s}" for s in shares if f"in_{s}" in groups.columns]
-    for steps in (0, 64, 32, 16, 8, 4, 2, 1):  # steps an octave; 0: sizes and profiles as they are
-        step = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.floor(F.log2("records"))) / steps) if steps else F.lit(1.0)
-        cells = groups.withColumns({c: (F.floor(F.col(c) / step) * step).cast("bigint") for c in ("class", *have)} if steps else {})
-        bundles = cells.groupBy("class", *have).agg(F.count(F.lit(1)).alias("n"), F.sum("records").alias("total"))
-        if steps == 1 or bundles.limit(MAX_BUNDLES + 1).count() <= MAX_BUNDLES:
-            break
-    solved = [tuple(r) for r in bundles.orderBy("class", *have).collect()]
+    key = ["records", *have]
+    solved = [tuple(r) for r in groups.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).orderBy(*key).collect()]
     width = [have.index(f"in_{s}") if f"in_{s}" in have else None for s in shares]
-    take = allocate([(b[-1] / b[-2], *(b[1 + w] if w is not None else 0 for w in width), b[-2]) for b in solved], shares)
-    plan = [(*b[:-2], s, sum(t[:k]), sum(t[: k + 1])) for b, t in zip(solved, take) for k, s in enumerate(shares) if t[k]]
-    plan_df = spark.createDataFrame(plan, "class bigint, " + "".join(f"{c} bigint, " for c in have) + "assigned string, lo bigint, hi bigint")
-    # Rank by hash within a bundle, from counts per hash bucket, so that no window holds a whole bundle.
-    key = ["class", *have]
-    buckets = max(1, math.ceil(sum(b[-2] for b in solved) / RANK_ROWS))
-    hashed = cells.withColumn("h", F.xxhash64("component", F.lit(seed))).withColumn("bucket", F.shiftrightunsigned("h", 33) % buckets)
-    hashed = hashed.select("component", "records", *key, "h", "bucket")
+    take = allocate([(b[0], *(b[1 + w] if w is not None else 0 for w in width), b[-1]) for b in solved], shares)
+    plan = [(*b[:-1], s, sum(t[:k]), sum(t[: k + 1])) for b, t in zip(solved, take) for k, s in enumerate(shares) if t[k]]
+    plan_df = spark.createDataFrame(plan, "".join(f"{c} bigint, " for c in key) + "assigned string, lo bigint, hi bigint")
+    # Rank by hash within a bundle, from counts per range of hashes, so that no window holds a whole bundle;
+    # ranges follow each other as hashes do, so the rank is the same with any number of them.
+    buckets = max(1, math.ceil(sum(b[-1] for b in solved) / RANK_ROWS))
+    hashed = groups.select("component", *key).withColumn("h", F.xxhash64("component", F.lit(seed)))
+    hashed = hashed.withColumn("bucket", F.shiftright((F.shiftright("h", 33) + F.lit(1 << 30)) * F.lit(buckets), 31))
     before = hashed.groupBy(*key, "bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = before.withColumn("before", F.sum("n").over(Window.partitionBy(*key).orderBy("bucket")) - F.col("n")).drop("n")
-    ranked = hashed.withColumn("rank", F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("h", "component"))).join(before, [*key, "bucket"])
-    ranked = ranked.withColumn("rank", F.col("rank") + F.col("before") - 1).select("component", "records", *key, "rank")
-    spans = F.broadcast(plan_df)  # at most MAX_BUNDLES times the splits
-    chosen = ranked.join(spans, [*(ranked[c] == plan_df[c] for c in key), ranked["rank"] >= plan_df["lo"], ranked["rank"] < plan_df["hi"]]).select("component", ranked["records"], F.col("assigned").alias("split"))
+    before = before.withColumn("before", F.sum("n").over(Window.partitionBy(*key).orderBy("bucket")) - F.col("n"))
+    spans = before.join(F.broadcast(plan_df) if len(solved) <= MAX_BUNDLES else plan_df, key).where("lo < before + n and hi > before")
+    spans = spans.select(*key, "bucket", "assigned", (F.col("lo") - F.col("before")).alias("lo"), (F.col("hi") - F.col("before")).alias("hi"))
+    ranked = hashed.withColumn("rank", F.row_number().over(Window.partitionBy(*key, "bucket").orderBy("h", "component")))
+    chosen = ranked.join(spans, [*key, "bucket"]).where("rank > lo and rank <= hi").select("component", "records", F.col("assigned").alias("split"))
     chosen = materialize(chosen, "assigned")
-    least_hot = max(2, math.ceil(sum(b[-1] for b in solved) / HOT_PARTS))
+    least_hot = max(2, math.ceil(sum(b[0] * b[-1] for b in solved) / HOT_PARTS))
     hot = F.broadcast(chosen.where(F.col("records") >= least_hot).select("component", "split"))
     cold = records.join(hot, "component", "left_anti").join(chosen.where(F.col("records") < least_hot).select("component", "split"), "component")
     return records.join(hot, "component").unionByName(cold).select("id", "component", "split")

@@ -36,3 +36,18 @@ def test_rounded_bundles_keep_totals(spark, monkeypatch, most):
     assert len({r["id"] for r in done}) == len(done) == 3000
     assert len({(r["component"], r["split"]) for r in done}) == len({r["component"] for r in done})
     assert abs(sum(r["split"] == "test" for r in done) / 3000 - 0.2) < 0.02
+
+
+def test_result_is_the_same_at_any_limit(spark, monkeypatch):
+    """The limits choose how the plan is joined and members are ranked, never who goes where."""
+    data = [(f"i{k}", f"o/r#{int(k**0.8)}", ("train", "dev", "test", None)[k * k * 7 % 11 % 4]) for k in range(3000)]
+    data += [(f"s{k}", None, ("train", "dev")[k % 2]) for k in range(500)]  # bundles with hundreds of members
+    df = spark.createDataFrame(data, "id string, task_group_key string, split string")
+    targets = spark.createDataFrame([("train", 0.7), ("validation", 0.1), ("test", 0.2)], "split string, share double")
+    whole = sorted(splits.assign_splits(df, targets).collect())
+    assert len(whole) == 3500
+    for limits in ({"MAX_BUNDLES": 1}, {"MAX_BUNDLES": 20}, {"RANK_ROWS": 7}, {"RANK_ROWS": 100}, {"HOT_PARTS": 5}, {"MAX_BUNDLES": 1, "RANK_ROWS": 7, "HOT_PARTS": 5}):
+        with monkeypatch.context() as m:
+            for name, value in limits.items():
+                m.setattr(splits, name, value)
+            assert sorted(splits.assign_splits(df, targets).collect()) == whole, limits
